@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -16,9 +18,13 @@ DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
+_folders: set[str] = set()
+
+
 def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
     b = SparkSession.builder.master(f"local[{cpus}]").config("spark.driver.memory", memory)
@@ -53,8 +59,19 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """As cut(), but as a Parquet table, so that later reads prune columns and know sizes."""
-    path = f"{shared_dir(df.sparkSession)}/tallyforge-{uuid.uuid4().hex}"
+    """As cut(), but as a Parquet table, so that later reads prune columns and know sizes.
+
+    The tables of one application lie in one folder, which is removed at its end where
+    it is a folder of this machine; elsewhere the cluster's cleaning of its checkpoint
+    folder does that.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/tallyforge-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        if folder.startswith(("/", "file:/")):
+            atexit.register(shutil.rmtree, "/" + folder.removeprefix("file:").lstrip("/"), ignore_errors=True)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
