@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import neardup, spans, survivor, tokens
+from tallyforge.llm import mixture, neardup, spans, survivor, tokens
 from tallyforge.sources.tables import table
 
 
@@ -33,11 +33,19 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"))
 
 
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")).ordered()
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")).shares()
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_spans(table(spark, d, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p9_found": p9_found, "p3_found": p3_found, "p3_learned": p3_learned, "p7_ids": p7_ids}
+QUERIES = {"p8_mixture": p8_mixture, "p8_shares": p8_shares, "p2_found": p2_found, "p2_classes": p2_classes, "p9_found": p9_found, "p3_found": p3_found, "p3_learned": p3_learned, "p7_ids": p7_ids}
 
 
 def _p3_sql() -> str:
