@@ -5,10 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import mixture, neardup, spans, survivor, tokens
+from tallyforge.llm import mapping, mixture, neardup, spans, survivor, tokens
 from tallyforge.sources.tables import table
 
 
+def _places(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    entries, phrases = mapping.place_entries(table(spark, d, "ref_locations"))
+    return mapping.mapped(rows, mapping.map_values(rows.select("value"), entries, mapping.PLACES, phrases))
+
+
+def _keywords(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    return mapping.mapped(rows, mapping.map_values(rows.select("value"), mapping.keyword_entries(table(spark, d, "ref_keywords")), mapping.KEYWORDS))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    places = table(spark, d, "location_mapping").filter("location_standardized is null and mapping_id is not null")
+    places = places.groupBy(F.col("mapping_id").cast("string").alias("record_id")).agg(F.min("location_raw").alias("value"))
+    words = table(spark, d, "keywords_normalized").filter("keyword_id is not null").groupBy(F.col("keyword_id").alias("record_id"))
+    words = words.agg(F.max("canonical_form").alias("settled"), F.min("keyword_text").alias("value")).filter("settled is null").drop("settled")
+    found = [("location_mapping", _places(spark, d, places)), ("keywords_normalized", _keywords(spark, d, words))]
+    a, b = (df.select(F.lit(name).alias("source_table"), "record_id", "ref_id") for name, df in found)
+    return a.unionByName(b)
+
+
 def _postings(spark: SparkSession, d: str) -> neardup.NearDuplicates:
     return neardup.NearDuplicates(table(spark, d, "icims_jobs"), "job_id", "job_title", "job_description")
 
@@ -45,7 +64,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_spans(table(spark, d, "documents"))
 
 
-QUERIES = {"p8_mixture": p8_mixture, "p8_shares": p8_shares, "p2_found": p2_found, "p2_classes": p2_classes, "p9_found": p9_found, "p3_found": p3_found, "p3_learned": p3_learned, "p7_ids": p7_ids}
+QUERIES = {"p1_found": p1_found, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p2_found": p2_found, "p2_classes": p2_classes, "p9_found": p9_found, "p3_found": p3_found, "p3_learned": p3_learned, "p7_ids": p7_ids}
 
 
 def _p3_sql() -> str:
