@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import mapping, mixture, neardup, spans, survivor, tokens
+from tallyforge.llm import mapping, mixture, names, neardup, spans, survivor, tokens
+from tallyforge.session import stored
 from tallyforge.sources.tables import table
 
 
@@ -48,6 +49,21 @@ def p3_learned(spark: SparkSession, d: str) -> DataFrame:
     return survivor.survivors(table(spark, d, "companies"), undated="learned")
 
 
+def _orgs(spark: SparkSession, d: str) -> DataFrame:
+    fields = ["company_name as name", "company_industry as industry", "city"]
+    a = table(spark, d, "companies").selectExpr("concat('c', cast(company_id as string)) as key", *fields)
+    b = table(spark, d, "company_profiles").selectExpr("profile_id as key", *fields)
+    return names.linked_names(a.unionByName(b))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.key_pairs(stored(_orgs(spark, d)))
+
+
+def p6_organisations(spark: SparkSession, d: str) -> DataFrame:
+    return _orgs(spark, d)
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, d, "documents"))
 
@@ -64,7 +80,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_spans(table(spark, d, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p2_found": p2_found, "p2_classes": p2_classes, "p9_found": p9_found, "p3_found": p3_found, "p3_learned": p3_learned, "p7_ids": p7_ids}
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_organisations": p6_organisations, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p2_found": p2_found, "p2_classes": p2_classes, "p9_found": p9_found, "p3_found": p3_found, "p3_learned": p3_learned, "p7_ids": p7_ids}
 
 
 def _p3_sql() -> str:
