@@ -5,11 +5,12 @@ industry words that the industry columns use as well, and what is left: the prop
 part, whose tokens are put together, as blanks and hyphens come and go. Suffix blocking
 finds proper parts that may be the same: the last characters of each, and of each read
 backwards, so that a typo at either end leaves one of them. Suffixes are far too common
-by themselves; they are refined with the other fields, industry or city, and as two
-spellings are linked only if one of these agrees, no block has to be discarded. Pairs
-are compared by the ratio of their longest common subsequence, and links that any
-field contradicts are dropped. Links are closed to groups. A name without industry and
-city joins a group only if no other group fits its spelling.
+by themselves; they are refined with the other fields: longer ones with industry or
+city, short ones with several fields. As two spellings are linked only if such fields
+agree, no block has to be discarded. Pairs are compared by the ratio of their longest
+common subsequence, which may be lower the more fields agree; links that any field
+contradicts are dropped. Links are closed to groups. A name without industry that no
+field links joins a group only if no other group fits its spelling.
 
 Records that don't differ in any of these fields are one node, so that an organisation
 with very many records costs no more than one with few.
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 from tallyforge.functions.fold import fold, tokens
 from tallyforge.session import small_or_shuffled, stored
 
-#: Least length of the suffixes, least ratios: with an agreeing industry or city alone, and with one more field.
-SUFFIX, CLOSE, NEAR = 5, 0.92, 0.84
+#: Lengths of the suffixes, and the fields that refine them.
+BLOCKS = ((5, ("industry",)), (5, ("city",)), (3, ("industry", "city")), (3, ("industry", "legal", "kind")))
+#: Least ratios with one, two, and three or more agreeing fields.
+RATIOS = (0.9, 0.84, 0.78)
 #: Industry words up to which they're broadcast.
 MAX_INDUSTRY_WORDS = 100_000
 
@@ -112,19 +115,28 @@ def _lcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 FIELDS = ("industry", "city", "legal", "kind")
 
 
-def _pairs(a: DataFrame, b: DataFrame, on: list[str], least: float) -> DataFrame:
-    """Pairs of nodes that meet in a block, with no field against them, by the ratio of their proper parts."""
-    side = lambda df, x: df.select(*on, *[F.col(c).alias(f"{c}_{x}") for c in ("node", "core", *FIELDS)])
+def _ends(size: int) -> Column:
+    """The last characters of a proper part, forwards and backwards."""
+    return F.explode(F.array_distinct(F.array(F.concat(F.lit("<"), F.substring("core", 1, size)), F.concat(F.lit(">"), F.substring(F.reverse("core"), 1, size)))))
+
+
+def _pairs(a: DataFrame, b: DataFrame, size: int, fields: tuple[str, ...], least: tuple[float, ...] = RATIOS) -> DataFrame:
+    """(node_a, node_b): nodes that meet in a block, with no field against them and proper parts that are close enough."""
+    on = ["suffix", *[f"by_{f}" for f in fields]]
+    known = reduce(lambda x, y: x & y, [F.col(f).isNotNull() for f in fields], F.lit(True))
+    block = lambda df: df.filter(known).select("*", _ends(size).alias("suffix"), *[F.col(f).alias(f"by_{f}") for f in fields])
+    side = lambda df, x: block(df).select(*on, *[F.col(c).alias(f"{c}_{x}") for c in ("node", "core", *FIELDS)])
     same = lambda c: F.coalesce(F.col(f"{c}_a") == F.col(f"{c}_b"), F.lit(False))
     apart = reduce(lambda x, y: x | y, [F.coalesce(F.col(f"{c}_a") != F.col(f"{c}_b"), F.lit(False)) for c in FIELDS])
     agree = reduce(lambda x, y: x + y, [same(c).cast("int") for c in FIELDS])
-    met = side(a, "a").join(side(b, "b"), on).filter(~apart & (F.col("node_a") != F.col("node_b")))
+    met = side(a, "a").join(side(b, "b"), on).filter(~apart & ((F.col("node_a") < F.col("node_b")) if a is b else (F.col("node_a") != F.col("node_b"))))
     longest = F.greatest(F.length("core_a"), F.length("core_b"))
     # Edits beyond this keep the ratio below the least one.
-    met = met.filter(F.levenshtein("core_a", "core_b") <= F.ceil(2 * (1 - least) * longest))
+    met = met.filter(F.levenshtein("core_a", "core_b") <= F.ceil(2 * (1 - least[-1]) * longest))
     met = met.select("node_a", "node_b", "core_a", "core_b", agree.alias("agree")).distinct()
     ratio = met.mapInArrow(_lcs, "node_a string, node_b string, core_a string, core_b string, agree int, ratio double")
-    return ratio.filter((F.col("ratio") >= CLOSE) | ((F.col("ratio") >= least) & (F.col("agree") >= 2))).select("node_a", "node_b", "ratio")
+    enough = F.when(F.col("agree") >= 3, least[2]).when(F.col("agree") == 2, least[1]).otherwise(least[0])
+    return ratio.filter(F.col("ratio") >= enough).select("node_a", "node_b")
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -164,24 +176,23 @@ def linked_names(records: DataFrame) -> DataFrame:
     node = F.sha2(F.concat_ws("\u0001", "core", *[F.coalesce(c, F.lit("\u0002")) for c in FIELDS]), 256)
     spelt = stored(spelt.withColumn("node", node))
     nodes = stored(spelt.groupBy("node", "core", *FIELDS).agg(F.min("key").alias("rep")))
-    ends = F.explode(F.array_distinct(F.array(F.concat(F.lit("<"), F.substring("core", 1, SUFFIX)), F.concat(F.lit(">"), F.substring(F.reverse("core"), 1, SUFFIX)))))
-    blocks = nodes.withColumn("suffix", ends)
-    weak = F.col("industry").isNull() & F.col("city").isNull()
-    strong = blocks.filter(~weak)
-    fit = lambda c: _pairs(strong.filter(f"{c} is not null").withColumn("by", F.col(c)), strong.filter(f"{c} is not null").withColumn("by", F.col(c)), ["suffix", "by"], NEAR).filter("node_a < node_b")
-    pairs = fit("industry").unionByName(fit("city")).select("node_a", "node_b").distinct()
+    pairs = reduce(DataFrame.unionByName, [_pairs(nodes, nodes, size, fields) for size, fields in BLOCKS]).distinct()
     rep = nodes.select("node", "rep")
     across = pairs.join(rep.withColumnsRenamed({"node": "node_a", "rep": "a"}), "node_a").join(rep.withColumnsRenamed({"node": "node_b", "rep": "b"}), "node_b").select("a", "b")
-    within = spelt.filter(~weak).join(rep, "node").select(F.col("key").alias("a"), F.col("rep").alias("b"))
+    bare = F.col("industry").isNull() & F.col("city").isNull()
+    within = spelt.filter(~bare).join(rep, "node").select(F.col("key").alias("a"), F.col("rep").alias("b"))
     keys = spelt.select("key").distinct()
     labels = stored(keys.join(components(across.unionByName(within)), F.col("key") == F.col("v"), "left").select("key", F.coalesce("label", "key").alias("org")))
     # Names that nothing but their spelling places.
-    loose = _pairs(blocks.filter(weak), strong, ["suffix"], CLOSE)
-    org_of = spelt.filter(~weak).select(F.col("node").alias("node_b"), "key").join(labels, "key").select("node_b", "org").distinct()
+    alone = labels.groupBy("org").agg(F.count("*").alias("n"), F.min("key").alias("key")).filter("n = 1").select("key")
+    lone = stored(spelt.filter("industry is null").join(alone, "key"))
+    strict = (RATIOS[0],) * 3
+    loose = _pairs(nodes.join(lone.select("node").distinct(), "node"), nodes.filter("industry is not null"), BLOCKS[0][0], (), strict)
+    org_of = spelt.filter("industry is not null").select(F.col("node").alias("node_b"), "key").join(labels, "key").select("node_b", "org").distinct()
     placed = loose.join(org_of, "node_b").groupBy(F.col("node_a").alias("node")).agg(F.min("org").alias("lo"), F.max("org").alias("hi"))
     # One group fits: that one. None: those of one spelling are together. Several: each stays alone.
-    own = spelt.filter(weak).join(placed, "node", "left").join(rep, "node")
-    own = own.withColumn("to", F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("lo").isNull(), F.col("rep")).otherwise(F.col("key")))
+    own = lone.join(placed, "node", "left").join(rep, "node")
+    own = own.withColumn("to", F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("lo").isNull() & bare, F.col("rep")).otherwise(F.col("key")))
     own = own.groupBy("key").agg(F.min("to").alias("x"), F.max("to").alias("y")).select("key", F.when(F.col("x") == F.col("y"), F.col("x")).otherwise(F.col("key")).alias("placed"))
     return labels.join(own, "key", "left").select("key", F.coalesce("placed", "org").alias("org"))
 
