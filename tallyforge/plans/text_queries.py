@@ -7,21 +7,10 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import companies, ids, lang, predicates, text
 from tallyforge.functions.rules import quote
+from tallyforge.plans.registry import registry
 from tallyforge.sources.tables import table
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name, with its oracle."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return add
+QUERIES, ORACLE, query = registry()
 
 
 @query(f"SELECT job_id, date_retrieved, {text.html_to_text_sql('job_description')} AS body FROM icims_jobs")
