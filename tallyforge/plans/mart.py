@@ -29,8 +29,14 @@ def change(now: Column, before: Column) -> Column:
     return F.try_divide((now - before) * 100.0, before)
 
 
+def half_up(c: Column, places: int = 4) -> Column:
+    """Rounded half up by plain arithmetic, which is the same in every engine."""
+    return F.floor(c.cast("double") * 10**places + 0.5) / float(10**places)
+
+
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:
-    return df.select(*[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    """df with its doubles rounded."""
+    return df.select(*[half_up(F.col(c), places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def exact_avg(c: Column, places: int = 2) -> Column:
@@ -161,12 +167,12 @@ def weighted_bridge(bridge: DataFrame, partition: str, order: list[Column], band
     w = Window.partitionBy(partition).orderBy(*order)
     factor = F.coalesce(*[F.when(F.col(confidence) >= least, F.lit(f)) for least, f in bands[:-1]], F.lit(bands[-1][1]))
     b = bridge.withColumn("position", F.row_number().over(w))
-    return b.withColumns({"weight": F.round(F.col(confidence) * factor, 4), "is_primary": F.col("position") == 1})
+    return b.withColumns({"weight": half_up(F.col(confidence) * factor), "is_primary": F.col("position") == 1})
 
 
 def keyword_weight(position: Column, confidence: Column) -> Column:
     """Weight by position and confidence: the first of high confidence counts in full."""
-    return F.round(confidence * F.when((position == 1) & (confidence >= 0.8), 1.0).when((position <= 3) & (confidence >= 0.7), 0.9).when(confidence >= 0.7, 0.8).otherwise(0.7), 4)
+    return half_up(confidence * F.when((position == 1) & (confidence >= 0.8), 1.0).when((position <= 3) & (confidence >= 0.7), 0.9).when(confidence >= 0.7, 0.8).otherwise(0.7))
 
 
 def date_dimension(spark, first: str, last: str, legacy_week_key: bool = False) -> DataFrame:

@@ -160,7 +160,7 @@ SELECT posting_id, skill_id, line, round(confidence, 4) AS confidence, CAST(posi
 def skills_bridge_weighted(spark: SparkSession, d: str) -> DataFrame:
     b = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("posting_id"), F.col("l_partkey").alias("skill_id"), F.col("l_linenumber").alias("line"), (1 - F.col("l_discount")).alias("confidence"))
     order = [F.desc("confidence"), F.asc("skill_id"), F.asc("line")]
-    return mart.weighted_bridge(b.filter("confidence >= 0.92"), "posting_id", order, [(0.95, 1.0), (0.9, 0.9), (0, 0.8)], "confidence").withColumn("confidence", F.round("confidence", 4))
+    return mart.weighted_bridge(b.filter("confidence >= 0.92"), "posting_id", order, [(0.95, 1.0), (0.9, 0.9), (0, 0.8)], "confidence").withColumn("confidence", mart.half_up(F.col("confidence")))
 
 
 @query("""
@@ -186,7 +186,7 @@ def experience_bridge_primary(spark: SparkSession, d: str) -> DataFrame:
         "job_uid", "llm_processing_timestamp", "min_years_experience", F.col("max_years_experience").isNull().alias("is_minimum"), F.col("llm_overall_confidence").alias("c")
     ).distinct()
     w = Window.partitionBy("job_uid").orderBy(F.desc("c"), F.desc("is_minimum"), F.coalesce("min_years_experience", F.lit(999)), F.asc_nulls_last("llm_processing_timestamp"))
-    weight = F.round(F.when(F.col("is_minimum"), 1.2).otherwise(1.0) * F.col("c"), 4)
+    weight = mart.half_up(F.when(F.col("is_minimum"), 1.2).otherwise(1.0) * F.col("c"))
     return j.select("job_uid", "llm_processing_timestamp", "min_years_experience", "is_minimum", weight.alias("weight"), (F.row_number().over(w) == 1).alias("is_primary"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import companies, ids, lang, predicates, text
 from tallyforge.functions.rules import quote
+from tallyforge.plans.mart import half_up
 from tallyforge.plans.registry import registry
 from tallyforge.sources.tables import table
 
@@ -133,7 +134,7 @@ def _language_sql(source: str, key: str, body: str) -> str:
 @query(_language_sql("documents", "doc_id", "text"))
 def language_pattern_score(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text").withColumn("hits", lang.pattern_hits(F.col("text")))
-    return docs.select("doc_id", lang.language_of(F.col("text"), F.col("hits")).alias("x")).select("doc_id", "x.lang", F.round("x.confidence", 4).alias("confidence"))
+    return docs.select("doc_id", lang.language_of(F.col("text"), F.col("hits")).alias("x")).select("doc_id", "x.lang", half_up(F.col("x.confidence")).alias("confidence"))
 
 
 @query(f"""SELECT coalesce(d.lang, 'none') AS labelled, l.lang AS detected, count(*) AS n FROM documents d JOIN ({_language_sql('documents', 'doc_id', 'text')}) l USING (doc_id) GROUP BY ALL""")
@@ -161,7 +162,7 @@ def language_multi_field(spark: SparkSession, d: str) -> DataFrame:
     for x in "tbc":
         j = j.withColumn(f"h{x}", lang.pattern_hits(F.col(x)))
     answers = {x: lang.language_of(F.col(x), F.col(f"h{x}")) for x in "tbc"}
-    j = j.withColumns({f"a{x}": F.struct(a["lang"].alias("lang"), F.round(a["confidence"], 4).alias("confidence")) for x, a in answers.items()})
+    j = j.withColumns({f"a{x}": F.struct(a["lang"].alias("lang"), half_up(a["confidence"]).alias("confidence")) for x, a in answers.items()})
     return j.select("job_id", "date_retrieved", lang.of_fields(F.col("at"), F.col("ab"), F.col("ac")).alias("x")).select("job_id", "date_retrieved", "x.*").distinct()
 
 
