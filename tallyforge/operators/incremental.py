@@ -38,7 +38,7 @@ def completeness(df: DataFrame, bucket: Column, ts: str, mark: Column) -> DataFr
 def lookback(df: DataFrame, key: str, day: str, as_of: Column) -> DataFrame:
     """(key, days): days to look back, from the age of a key's latest row; the default where it has no date."""
     age = F.datediff(as_of, F.max(day))
-    return df.groupBy(key).agg(F.coalesce(F.least(F.greatest(age + CUSHION, F.lit(LEAST_BACK)), F.lit(MOST_BACK)), F.lit(DEFAULT_BACK)).cast("int").alias("days"))
+    return df.groupBy(key).agg(F.when(age.isNotNull(), F.least(F.greatest(age + CUSHION, F.lit(LEAST_BACK)), F.lit(MOST_BACK))).otherwise(DEFAULT_BACK).cast("int").alias("days"))
 
 
 def processing_mode(df: DataFrame, ts: str, now: Column) -> DataFrame:
