@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.functions.rules import quote, replace_all, replace_all_sql, rewrite, rewrite_sql
 
@@ -86,7 +87,7 @@ def html_to_text_sql(e: str) -> str:
     return squeeze_sql(rewrite_sql(replace_all_sql(replace_all_sql(e, ENTITIES), MOJIBAKE), (*STRUCTURE, *TAGS)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_every_entity(s: pd.Series) -> pd.Series:
     """Every HTML entity, numeric ones included; for texts that ENTITIES doesn't cover."""
     return s.map(html.unescape, na_action="ignore")

@@ -32,7 +32,8 @@ def trend_score(frequency: Column) -> Column:
 
 def extracted(df: DataFrame, key: str, lists: dict[str, str], scalars: dict[str, str] | None = None) -> DataFrame:
     """(key, raw, source): the values of array and scalar columns in one list, in lower case, placeholders left out."""
-    arrays = [F.transform(F.coalesce(F.col(c), F.array()), lambda x, s=source: F.struct(x.alias("v"), F.lit(s).alias("source"))) for c, source in lists.items()]
+    from_ = lambda c, source: F.transform(F.coalesce(F.col(c), F.array()), lambda x: F.struct(x.alias("v"), F.lit(source).alias("source")))
+    arrays = [from_(c, source) for c, source in lists.items()]
     singles = [F.array(F.struct(F.col(c).alias("v"), F.lit(source).alias("source"))) for c, source in (scalars or {}).items()]
     x = df.select(key, F.explode(F.concat(*arrays, *singles)).alias("x")).select(key, "x.v", "x.source").filter("v is not null")
     return x.filter(not_placeholder(F.col("v"))).select(key, F.lower(F.trim("v")).alias("raw"), "source")
