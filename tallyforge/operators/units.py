@@ -96,6 +96,10 @@ def _residual(amount: Column, column: Column) -> Column:
     return F.least(*[F.abs(F.ln(amount.cast("double")) - F.ln(column.cast("double") * s)) for s in SCALES])
 
 
+#: How the names of columns begin that only the functions below see.
+OWN = "__pay_"
+
+
 def pay_readings(df: DataFrame) -> DataFrame:
     """df with what its pay columns and text say: lo, hi, currency, period (each null if it can't be told), ambiguous.
 
@@ -103,40 +107,39 @@ def pay_readings(df: DataFrame) -> DataFrame:
     plans are taken out; 'from x' and 'up to x' state one side, the missing side takes
     the other's value.
     """
-    given = set(df.columns)
     text = F.regexp_replace(F.lower(F.col("compensation")), NOT_PAY, " ")
     one = f"({CURRENCY_IN_TEXT})?\\s*({NUMBER})\\s*({SCALE})?\\s*({CURRENCY_IN_TEXT})?"
     both = f"(?s)^.*?{one}(?:\\s*(?:to|[-\u2013\u2014\u301c~])\\s*{one})?.*$"
     parts = F.when(text.rlike(NUMBER), F.split(F.regexp_replace(text, both, "|".join(f"${n}" for n in range(1, 9))), r"\|"))
-    df = df.withColumns({"_text": text, "_p": parts})
-    t, g = F.col("_text"), (lambda n: F.nullif(F.get("_p", F.lit(n - 1)), F.lit("")))
-    df = df.withColumns({"_c": F.coalesce(g(1), g(4), g(8), g(5)), "_n1": g(2), "_s1": F.coalesce(g(3), g(7)), "_n2": g(6), "_s2": g(7)})
-    df = df.withColumns({"_lo": F.least("salary_min", "salary_max"), "_hi": F.greatest("salary_min", "salary_max")})  # either side alone counts for both
-    stated = F.col("_n1").isNotNull()
+    df = df.withColumns({"__pay_text": text, "__pay_p": parts})
+    t, g = F.col("__pay_text"), (lambda n: F.nullif(F.get("__pay_p", F.lit(n - 1)), F.lit("")))
+    df = df.withColumns({"__pay_c": F.coalesce(g(1), g(4), g(8), g(5)), "__pay_n1": g(2), "__pay_s1": F.coalesce(g(3), g(7)), "__pay_n2": g(6), "__pay_s2": g(7)})
+    df = df.withColumns({"__pay_lo": F.least("salary_min", "salary_max"), "__pay_hi": F.greatest("salary_min", "salary_max")})  # either side alone counts for both
+    stated = F.col("__pay_n1").isNotNull()
     # A scale word behind the second figure holds for the first as well.
-    df = df.withColumns({"_f1": _scale(F.col("_s1")), "_f2": _scale(F.col("_s2"))})
-    df = df.withColumns({f"_{k}{n}": (how(F.col(f"_n{n}")) * F.col(f"_f{n}")).cast("decimal(20,4)") for n in (1, 2) for k, how in (("a", _usual), ("b", _other))})
-    df = df.withColumns({f"_r{k}{n}": _residual(F.col(f"_{k}{n}"), F.col(c)) for n, c in ((1, "_lo"), (2, "_hi")) for k in "ab"})
-    pick = lambda n: F.when(F.col(f"_rb{n}") < F.col(f"_ra{n}") - 1e-6, F.col(f"_b{n}")).otherwise(F.col(f"_a{n}"))
-    tie = lambda n: F.coalesce(F.abs(F.col(f"_ra{n}") - F.col(f"_rb{n}")) <= 1e-6, F.lit(False))
+    df = df.withColumns({"__pay_f1": _scale(F.col("__pay_s1")), "__pay_f2": _scale(F.col("__pay_s2"))})
+    df = df.withColumns({f"__pay_{k}{n}": (how(F.col(f"__pay_n{n}")) * F.col(f"__pay_f{n}")).cast("decimal(20,4)") for n in (1, 2) for k, how in (("a", _usual), ("b", _other))})
+    df = df.withColumns({f"__pay_r{k}{n}": _residual(F.col(f"__pay_{k}{n}"), F.col(c)) for n, c in ((1, "__pay_lo"), (2, "__pay_hi")) for k in "ab"})
+    pick = lambda n: F.when(F.col(f"__pay_rb{n}") < F.col(f"__pay_ra{n}") - 1e-6, F.col(f"__pay_b{n}")).otherwise(F.col(f"__pay_a{n}"))
+    tie = lambda n: F.coalesce(F.abs(F.col(f"__pay_ra{n}") - F.col(f"__pay_rb{n}")) <= 1e-6, F.lit(False))
     df = df.withColumns({
-        "_x": F.when(stated, pick(1)).otherwise(F.col("_lo").cast("decimal(20,4)")),
-        "_y": F.when(stated, F.coalesce(pick(2), pick(1))).otherwise(F.col("_hi").cast("decimal(20,4)")),
+        "__pay_x": F.when(stated, pick(1)).otherwise(F.col("__pay_lo").cast("decimal(20,4)")),
+        "__pay_y": F.when(stated, F.coalesce(pick(2), pick(1))).otherwise(F.col("__pay_hi").cast("decimal(20,4)")),
         "ambiguous": stated & (tie(1) | tie(2)),
-        "residual": F.when(stated, F.least("_ra1", "_rb1")),
-        "_cc": currency_code(F.col("salary_currency")), "_cp": period_code(F.col("salary_period")), "_tp": F.when(stated, _period_in(t)),
+        "residual": F.when(stated, F.least("__pay_ra1", "__pay_rb1")),
+        "__pay_cc": currency_code(F.col("salary_currency")), "__pay_cp": period_code(F.col("salary_period")), "__pay_tp": F.when(stated, _period_in(t)),
     })
-    col_cur = F.col("_cc")
-    sign = F.col("_c")
+    col_cur = F.col("__pay_cc")
+    sign = F.col("__pay_c")
     text_cur = F.when(sign == "$", F.when(col_cur.isin("AUD", "CAD"), col_cur).otherwise("USD")).otherwise(currency_code(sign))
-    lakh = F.when(stated & F.col("_s1").rlike("lakh|lpa|crore"), "INR")
-    man = F.when(stated & F.col("_s1").rlike("万"), "JPY")
-    drop = [c for c in df.columns if c.startswith("_") and c not in given]
+    lakh = F.when(stated & F.col("__pay_s1").rlike("lakh|lpa|crore"), "INR")
+    man = F.when(stated & F.col("__pay_s1").rlike("万"), "JPY")
+    drop = [c for c in df.columns if c.startswith(OWN)]
     return df.withColumns({
-        "lo": F.least("_x", "_y"),  # least and greatest pass over nulls
-        "hi": F.greatest("_x", "_y"),
+        "lo": F.least("__pay_x", "__pay_y"),  # least and greatest pass over nulls
+        "hi": F.greatest("__pay_x", "__pay_y"),
         "currency": F.when(stated, F.coalesce(text_cur, col_cur, lakh, man)).otherwise(col_cur),
-        "period": F.coalesce("_tp", "_cp"),
+        "period": F.coalesce("__pay_tp", "__pay_cp"),
         "from_text": F.coalesce(stated, F.lit(False)),
     }).drop(*drop)
 
@@ -149,12 +152,12 @@ def yearly_usd(jobs: DataFrame, factors: DataFrame) -> DataFrame:
     table is fixed and small; it's broadcast only if it has no more than 1,000 rows.
     """
     f = small_or_shuffled(factors.groupBy("unit_kind", "unit_code").agg(F.max("factor").cast("decimal(18,8)").alias("f")), 1_000)
-    per = f.filter("unit_kind = 'period'").select(F.col("unit_code").alias("period"), F.col("f").alias("_pf"))
-    cur = f.filter("unit_kind = 'currency'").select(F.col("unit_code").alias("currency"), F.col("f").alias("_cf"))
+    per = f.filter("unit_kind = 'period'").select(F.col("unit_code").alias("period"), F.col("f").alias("__pay_pf"))
+    cur = f.filter("unit_kind = 'currency'").select(F.col("unit_code").alias("currency"), F.col("f").alias("__pay_cf"))
     per, cur = small_or_shuffled(per, 1_000), small_or_shuffled(cur, 1_000)
     r = pay_readings(jobs).join(per, "period", "left").join(cur, "currency", "left")
-    usd = lambda c: F.round((F.col(c) * (F.col("_pf") * F.col("_cf")).cast("decimal(18,8)")).cast("decimal(38,12)"), 0).cast("long")
-    return r.withColumns({"min_usd_year": usd("lo"), "max_usd_year": usd("hi")}).drop("_pf", "_cf")
+    usd = lambda c: F.round((F.col(c) * (F.col("__pay_pf") * F.col("__pay_cf")).cast("decimal(18,8)")).cast("decimal(38,12)"), 0).cast("long")
+    return r.withColumns({"min_usd_year": usd("lo"), "max_usd_year": usd("hi")}).drop("__pay_pf", "__pay_cf")
 
 
 PAY = ["job_uid", "salary_min", "salary_max", "salary_currency", "salary_period", "compensation"]
