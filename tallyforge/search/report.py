@@ -20,8 +20,9 @@ def _rows(df: DataFrame) -> list:
 
 
 def as_html(df: DataFrame, title: str = "Postings") -> str:
+    rows = _rows(df)
     head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-    body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in r) + "</tr>" for r in (rows := _rows(df)))
+    body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else str(v))}</td>" for v in r) + "</tr>" for r in rows)
     return f"<!doctype html><meta charset='utf-8'><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><p>{len(rows)} rows</p><table><tr>{head}</tr>{body}</table>"
 
 
