@@ -68,8 +68,21 @@ EAST_ASIAN = {
 CODES = {"zh-cn": "zh", "zh-tw": "zh", "zh-hans": "zh", "zh-hant": "zh", "en-us": "en", "en-gb": "en", "ja-jp": "ja", "ko-kr": "ko"}
 
 
+LANGUAGES = ("en", *LATIN, *EAST_ASIAN)
+EAST_ASIAN_TEXT = "[\u3040-\u30ff\u4e00-\u9fff\uac00-\ud7a3]"
+_WORDS = r"\b(?:"
+
+
+def _merged(patterns: tuple[str, ...]) -> tuple[str, ...]:
+    """One pattern for several lists of words that share none, so that a text is read once."""
+    words = [w for p in patterns if p.startswith(_WORDS) for w in p[len(_WORDS) : -len(r")\b")].split("|")]
+    if len(words) != len(set(words)) or not all(p.startswith(_WORDS) for p in patterns):
+        return patterns
+    return (_WORDS + "|".join(words) + r")\b",)
+
+
 def _hits(text: Column, patterns: tuple[str, ...]) -> Column:
-    return reduce(lambda a, b: a + b, [F.regexp_count(text, F.lit(f"(?i){p}")) for p in patterns])
+    return reduce(lambda a, b: a + b, [F.regexp_count(text, F.lit(f"(?i){p}")) for p in _merged(patterns)])
 
 
 #: For the oracle, whose word boundaries know ASCII only: letters beyond it, written with word characters of it.
@@ -84,9 +97,15 @@ def _hits_sql(e: str, patterns: tuple[str, ...], east: bool) -> str:
 
 
 def pattern_hits(text: Column) -> Column:
-    """struct with the pattern hits of each language and of English."""
+    """Pattern hits of English and of each language, an array in the order of LANGUAGES.
+
+    It should be a column of its own before language_of() is applied: an array isn't
+    taken apart by the optimizer, so that each pattern runs once.
+    """
+    t = F.coalesce(text, F.lit(""))
+    east = t.rlike(EAST_ASIAN_TEXT)
     groups = {"en": ENGLISH} | LATIN | EAST_ASIAN
-    return F.struct(*[_hits(F.coalesce(text, F.lit("")), p).alias(lang) for lang, p in groups.items()])
+    return F.array(*[F.when(east, _hits(t, p)).otherwise(0) if lang in EAST_ASIAN else _hits(t, p) for lang, p in groups.items()])
 
 
 def pattern_hits_sql(e: str) -> dict[str, str]:
@@ -102,6 +121,9 @@ def language_of(text: Column, hits: Column) -> Column:
     One East Asian hit decides; a Latin language needs two; otherwise the share of English
     hits tells. Null and short texts are 'unknown' with confidence 0.
     """
+    all_hits, hits = hits, {}
+    for i, lang in enumerate(LANGUAGES):
+        hits[lang] = F.get(all_hits, F.lit(i))
     conf = lambda most, base, step, n: F.least(F.lit(most), F.lit(base) + F.lit(step) * n)
     answer = lambda lang, c: F.struct(F.lit(lang).alias("lang"), c.cast("double").alias("confidence"))
     others = reduce(lambda a, b: a + b, [hits[x] for x in (*LATIN, *EAST_ASIAN)])
