@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.fold import fold
 from tallyforge.functions.ids import surrogate_id
 from tallyforge.functions.predicates import not_placeholder
+from tallyforge.operators.dml import latest_per_key
 from tallyforge.operators.joins import any_key
 
 # Confidences, limits of frequency and trend, periods per year, pay outside which a salary is an outlier.
@@ -174,7 +175,8 @@ def first_orphans(raw: DataFrame, key: str, taxonomy: DataFrame, n: int) -> Data
 
 def best_urls(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """One record per company and platform by the given order, marked if names under one id differ."""
-    w = Window.partitionBy("company_id", "platform")
-    named = df.withColumn("names", F.size(F.collect_set(F.lower(F.trim("company_name"))).over(w)))
-    ranked = named.withColumn("_rn", F.row_number().over(w.orderBy(*order))).filter("_rn = 1").drop("_rn")
-    return ranked.withColumn("duplicate_kind", F.when(F.col("names") > 1, "variation").otherwise("same"))
+    keys = ["company_id", "platform"]
+    # Names are counted beside the window, so that no task holds the names of a large company.
+    names = df.groupBy(*keys).agg(F.count_distinct(F.lower(F.trim("company_name"))).alias("names"))
+    ranked = latest_per_key(df, keys, order).join(names.withColumnsRenamed({k: f"_{k}" for k in keys}), F.col("company_id").eqNullSafe(F.col("_company_id")) & F.col("platform").eqNullSafe(F.col("_platform")))
+    return ranked.withColumn("duplicate_kind", F.when(F.col("names") > 1, "variation").otherwise("same")).drop("_company_id", "_platform")

@@ -109,12 +109,22 @@ def _places(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return raw, normalize.places_master(raw, "mapping_id", states, ref.select("country").filter("country is not null").distinct())
 
 
-@query()
+_PLACES = """(SELECT strip_accents(lower(trim(place, ' '))) AS folded, city, state, c.country AS country, CASE WHEN contains(strip_accents(lower(trim(place, ' '))), 'remote') THEN 'remote' WHEN contains(strip_accents(lower(trim(place, ' '))), 'hybrid') THEN 'hybrid' ELSE 'office' END AS kind, place, mapping_id
+    FROM (SELECT p.*, coalesce(a.state, b.state) AS state, lower(CASE WHEN coalesce(a.state, b.state) IS NULL THEN coalesce(third, second) ELSE third END) AS gate FROM (
+      SELECT mapping_id, location_raw AS place, nullif(trim(split_part(location_raw, ',', 1), ' '), '') AS city, nullif(trim(split_part(location_raw, ',', 2), ' '), '') AS second, nullif(trim(split_part(location_raw, ',', 3), ' '), '') AS third FROM location_mapping WHERE location_raw IS NOT NULL) p
+      LEFT JOIN (SELECT DISTINCT lower(state_code) AS k, state FROM ref_locations WHERE state IS NOT NULL) a ON a.k = lower(second)
+      LEFT JOIN (SELECT DISTINCT lower(state) AS k, state FROM ref_locations WHERE state IS NOT NULL) b ON b.k = lower(second)) x
+    LEFT JOIN (SELECT DISTINCT country FROM ref_locations WHERE country IS NOT NULL) c ON lower(c.country) = gate)"""
+
+
+@query(f"""SELECT {_hash('LOC_', 'folded')} AS location_id, folded, city, state, country, kind, frequency, variant, round(c, 4) AS confidence, c < 0.5 OR frequency = 1 AS needs_review FROM (
+    SELECT folded, city, state, country, kind, count(DISTINCT mapping_id) AS frequency, min(place) AS variant, CASE WHEN state IS NOT NULL AND country IS NOT NULL THEN 0.95 WHEN state IS NOT NULL OR country IS NOT NULL THEN 0.8 ELSE 0.4 END::DOUBLE AS c FROM {_PLACES} GROUP BY ALL)""")
 def locations_normalized(spark: SparkSession, d: str) -> DataFrame:
-    return _places(spark, d)[1]
+    return rounded(_places(spark, d)[1])
 
 
-@query()
+@query(f"""SELECT DISTINCT p.mapping_id AS left_id, m.location_id AS right_id FROM (SELECT DISTINCT mapping_id, folded, place FROM {_PLACES}) p
+    JOIN (SELECT {_hash('LOC_', 'folded')} AS location_id, folded, min(place) AS variant FROM {_PLACES} GROUP BY folded, city, state, country, kind) m ON m.folded = p.folded OR m.variant = p.place""")
 def job_locations_bridge(spark: SparkSession, d: str) -> DataFrame:
     raw, master = _places(spark, d)
     return normalize.places_bridge(raw.withColumnRenamed("mapping_id", "left_id"), master)
