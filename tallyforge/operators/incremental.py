@@ -24,7 +24,7 @@ def high_watermark(df: DataFrame, source: str, ts: str, now: Column) -> DataFram
 
 def since_watermark(df: DataFrame, marks: DataFrame, source: str, ts: str) -> DataFrame:
     """Rows later than their source's watermark, or all where there's none. marks has one row per source."""
-    return df.join(F.broadcast(marks), source, "left").filter(F.col("watermark").isNull() | (F.col(ts) > F.col("watermark"))).select(*df.columns)
+    return df.join(marks, source, "left").filter(F.col("watermark").isNull() | (F.col(ts) > F.col("watermark"))).select(*df.columns)
 
 
 def completeness(df: DataFrame, bucket: Column, ts: str, mark: Column) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators.dml import latest_per_key
+from tallyforge.session import small_or_shuffled
 
 
 def any_key(left: DataFrame, right: DataFrame, left_keys: Sequence[Column], right_keys: Sequence[Column]) -> DataFrame:
@@ -33,9 +34,9 @@ def in_band(df: DataFrame, value: str, bands: DataFrame, low: str, high: str, wi
     closed = bands.filter(F.col(high).isNotNull()).withColumn("_cell", F.explode(F.sequence(cell(F.col(low)), cell(F.col(high)))))
     v = df.withColumn("_cell", cell(F.col(value)))
     out = v.join(closed, "_cell").filter(F.col(value).between(F.col(low), F.col(high)))
-    # Open bands are few, as bands are a rule table: compared directly, with the small side broadcast.
-    open_ = bands.filter(F.col(high).isNull())
-    return out.unionByName(v.join(F.broadcast(open_), F.col(value) >= F.col(low))).drop("_cell")
+    # Open bands are compared directly; as bands are a rule table they are few, which is counted before they are broadcast.
+    open_ = small_or_shuffled(bands.filter(F.col(high).isNull()), 10_000)
+    return out.unionByName(v.join(open_, F.col(value) >= F.col(low))).drop("_cell")
 
 
 def lookup_top(df: DataFrame, ref: DataFrame, df_key: Column, ref_key: Column, order: Sequence[Column], take: str, default: str) -> DataFrame:

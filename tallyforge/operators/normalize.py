@@ -16,6 +16,7 @@ from tallyforge.functions.ids import surrogate_id
 from tallyforge.functions.predicates import not_placeholder
 from tallyforge.operators.dml import latest_per_key
 from tallyforge.operators.joins import any_key
+from tallyforge.session import small_or_shuffled
 
 # Confidences, limits of frequency and trend, periods per year, pay outside which a salary is an outlier.
 TAXONOMY_HIT, TAXONOMY_MISS, REVIEW_BELOW = 1.0, 0.5, 0.5
@@ -162,11 +163,48 @@ def experience_master(df: DataFrame, key: str, rules: DataFrame) -> DataFrame:
     v = df.select(key, "min_years_experience").filter("min_years_experience is not null").distinct()
     # The rule table is a handful of bands; the values are reduced to counts per year first.
     per_year = v.groupBy("min_years_experience").agg(F.count("*").alias("n"))
-    hits = per_year.join(F.broadcast(rules), (F.col("min_years_experience") >= F.col("low")) & (F.col("min_years_experience") <= F.coalesce("high", F.lit(1e9))))
+    hits = per_year.join(small_or_shuffled(rules, 10_000), (F.col("min_years_experience") >= F.col("low")) & (F.col("min_years_experience") <= F.coalesce("high", F.lit(1e9))))
     counts = hits.groupBy("rule_id").agg(F.sum("n").alias("market_frequency"))
     return rules.join(counts, "rule_id", "left").fillna(0, ["market_frequency"])
 
 
+def by_rules(df: DataFrame, key: str, column: str, rules: DataFrame, most_words: int = 4) -> DataFrame:
+    """(key, value, standard, confidence, how) by rules (pattern, standard): 'exact' 0.8, 'partial' 0.7 (the pattern is a run of words of the value), else the value itself, 0.5.
+
+    Runs of up to most_words words are joined by equality, so that no rule is compared with
+    every value; of several partial rules the longest, then the last standard by code point, holds.
+    Null and blank values stay, without a standard.
+    """
+    v = df.select(key, F.col(column).alias("value"), F.lower(F.trim(F.col(column))).alias("low"))
+    r = rules.groupBy(F.lower(F.trim("pattern")).alias("pattern")).agg(F.min("standard").alias("standard"))
+    words = F.split("low", r"\s+")
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most_words)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))))
+    part = v.select("low", F.explode(F.array_distinct(runs)).alias("pattern")).distinct().join(r, "pattern")
+    best = part.groupBy("low").agg(F.max(F.struct((F.col("pattern") == F.col("low")).alias("exact"), F.length("pattern").alias("n"), "standard")).alias("b"))
+    out = v.join(best, "low", "left")
+    how = F.when(F.col("b").isNull(), "none").when(F.col("b.exact"), "exact").otherwise("partial")
+    conf = F.when(how == "exact", 0.8).when(how == "partial", 0.7).otherwise(0.5)
+    return out.select(key, "value", F.coalesce("b.standard", F.nullif(F.trim("value"), F.lit(""))).alias("standard"), conf.alias("confidence"), how.alias("how"))
+
+
+def experience_bridge(df: DataFrame, key: str, rules: DataFrame, roles: dict[str, str]) -> DataFrame:
+    """(key, rule_id, how): bands that hold the years asked for, technologies by name, and levels by the words of the seniority (roles: pattern to rule id).
+
+    df has min_years_experience, seniority_level and technology_years, a map; a technology's
+    id is TECH_ and its name.
+    """
+    years = df.select(key, "min_years_experience").filter("min_years_experience is not null")
+    per_year = years.select("min_years_experience").distinct()
+    # Distinct years and a rule table of a handful of bands: compared directly.
+    bands = per_year.join(small_or_shuffled(rules, 10_000), (F.col("min_years_experience") >= F.col("low")) & (F.col("min_years_experience") <= F.coalesce("high", F.lit(1e9))))
+    general = years.join(bands.select("min_years_experience", "rule_id"), "min_years_experience").select(key, "rule_id", F.lit("general").alias("how"))
+    tech = df.select(key, F.explode("technology_years").alias("tech", "years")).select(key, F.concat(F.lit("TECH_"), F.upper("tech")).alias("rule_id"), F.lit("technology").alias("how"))
+    low = F.lower(F.coalesce("seniority_level", F.lit("")))
+    named = F.filter(F.array(*[F.when(low.rlike(p), F.lit(r)) for p, r in roles.items()]), lambda x: x.isNotNull())
+    role = df.select(key, F.explode(named).alias("rule_id"), F.lit("role").alias("how"))
+    return general.unionByName(tech).unionByName(role).distinct()
+
+
 def first_orphans(raw: DataFrame, key: str, taxonomy: DataFrame, n: int) -> DataFrame:
     """The most frequent values without a taxonomy entry, as work for a mapping by hand or model (a top-n report)."""
     o = raw.join(taxonomy.select(F.lower("name").alias("raw")), "raw", "left_anti").groupBy("raw").agg(F.count_distinct(key).alias("frequency"))

@@ -201,3 +201,30 @@ def master_company_urls(spark: SparkSession, d: str) -> DataFrame:
     """The best address record of each company and platform."""
     order = [F.desc(F.coalesce("url_verified", F.lit(False))), F.desc(F.col("ats_url").isNotNull()), F.desc_nulls_last("last_updated"), F.desc("record_id")]
     return normalize.best_urls(table(spark, d, "companies"), order).select("company_id", "platform", "record_id", "duplicate_kind")
+
+
+PLACE_RULES = [("new york", "New York"), ("falls", "Falls Region"), ("remote", "Remote"), ("north carolina", "North Carolina")]
+_PLACE_RULES = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in PLACE_RULES) + ") AS r(pattern, standard)"
+
+
+@query(f"""SELECT mapping_id, value, coalesce(standard, nullif(trim(value, ' '), '')) AS standard, CASE WHEN pattern IS NULL THEN 0.5 WHEN pattern = low THEN 0.8 ELSE 0.7 END::DOUBLE AS confidence, CASE WHEN pattern IS NULL THEN 'none' WHEN pattern = low THEN 'exact' ELSE 'partial' END AS how FROM (
+    SELECT mapping_id, value, low, pattern, standard, row_number() OVER (PARTITION BY mapping_id ORDER BY (pattern = low) DESC NULLS LAST, length(pattern) DESC NULLS LAST, standard DESC) AS rn FROM (SELECT mapping_id, location_raw AS value, lower(trim(location_raw, ' ')) AS low FROM location_mapping)
+    LEFT JOIN {_PLACE_RULES} ON contains(' ' || array_to_string(regexp_split_to_array(low, '\\s+'), ' ') || ' ', ' ' || pattern || ' ')) WHERE rn = 1""")
+def rule_standardisation(spark: SparkSession, d: str) -> DataFrame:
+    """Exact, partial and no rule, with their confidences."""
+    rules = spark.createDataFrame(PLACE_RULES, "pattern string, standard string")
+    return normalize.by_rules(table(spark, d, "location_mapping"), "mapping_id", "location_raw", rules)
+
+
+ROLES = {"trainee|junior": "EXP_ENTRY", "senior|staff|lead": "EXP_SENIOR"}
+
+
+@query("SELECT DISTINCT job_uid, rule_id, 'general' AS how FROM jobs_llm_enriched JOIN (VALUES " + ", ".join(f"('{a}', {b}::DOUBLE, {'NULL' if c is None else c}::DOUBLE)" for a, b, c in YEARS) + """) r(rule_id, low, high) ON min_years_experience >= low AND min_years_experience <= coalesce(high, 1e9)
+    UNION SELECT job_uid, 'TECH_' || upper(unnest(technical_skills)), 'technology' FROM jobs_llm_enriched
+    UNION SELECT job_uid, CASE WHEN regexp_matches(lower(seniority_level), 'trainee|junior') THEN 'EXP_ENTRY' ELSE 'EXP_SENIOR' END, 'role' FROM jobs_llm_enriched WHERE regexp_matches(lower(seniority_level), 'trainee|junior|senior|staff|lead')""")
+def job_experience_bridge(spark: SparkSession, d: str) -> DataFrame:
+    """Bands, technologies and levels of each posting; the skills listed stand for technologies with years."""
+    j = table(spark, d, "jobs_llm_enriched")
+    years = F.map_from_entries(F.transform(F.array_distinct(F.coalesce("technical_skills", F.array().cast("array<string>"))), lambda x: F.struct(x, F.lit(1.0))))
+    rules = spark.createDataFrame(YEARS, "rule_id string, low double, high double")
+    return normalize.experience_bridge(j.withColumn("technology_years", years), "job_uid", rules, ROLES)

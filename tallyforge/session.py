@@ -52,14 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder once and go on from there (lineage is cut, executors may be lost)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """As cut(), but as a Parquet table, so that later reads prune columns and know sizes.
+    """Writes df to the shared folder as a Parquet table and goes on from there: lineage is cut, executors may be lost, later reads prune columns and know sizes.
 
     The tables of one application lie in one folder, which is removed at its end where
     it is a folder of this machine; elsewhere the cluster's cleaning of its checkpoint

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +59,12 @@ def ensure_tables(spark: SparkSession, root: str, names: Iterable[str] = SCHEMAS
     return made
 
 
+def view_version(sql: str) -> str:
+    """Hash of a view's text without comments and extra blanks: it changes only if the view does."""
+    bare = re.sub(r"/\*.*?\*/", " ", re.sub(r"--[^\n]*", " ", sql), flags=re.DOTALL)
+    return hashlib.md5(" ".join(bare.split()).encode(), usedforsecurity=False).hexdigest()
+
+
 def seed(spark: SparkSession, name: str, rows: Sequence[tuple]) -> DataFrame:
     """A small rule or lookup table from rows in code."""
     return spark.createDataFrame(list(rows), schema_of(name))

@@ -67,3 +67,7 @@ def test_schemas(spark, make, tmp_path):
     with pytest.raises(ValueError, match="parent"):
         schemas.expect_fk(make("a int", (1,), (2,)), make("a int", (1,)), "a")
     schemas.expect_fk(make("a int", (1,), (None,)), make("a int", (1,)), "a")
+
+
+def test_view_versions():
+    assert schemas.view_version("select 1 -- x\n from /* y\n */ t") == schemas.view_version("select 1\n  from t") != schemas.view_version("select 2 from t")
