@@ -4,9 +4,11 @@ The physical identity here is: yearly US dollars = amount x scale x periods per
 x US dollars per currency unit. It holds for the columns and for the text alike, so
 where a figure can be read in several ways (a separator that may group thousands or
 mark decimals, a scale word on one side of a range only) the reading is the one whose
-log residual against the columns is least, over the scales in SCALES. Readings that
-fit equally well but differ are flagged; without columns to hold against, the usual
-reading of the format is taken. Where unit and figure stand in the text, they outrank
+log residual against the columns is least, over the scales in SCALES; one scale holds
+for both columns. Readings that fit equally well but differ are flagged, and the usual
+reading of the format is taken, as it is without columns to hold against: of the scales
+of a range the one that brings its sides nearest to one another. Currency and period
+are read where they are stated and never chosen by a residual. Where unit and figure stand in the text, they outrank
 the columns.
 """
 
@@ -91,9 +93,28 @@ def _scale(word: Column) -> Column:
     )
 
 
-def _residual(amount: Column, column: Column) -> Column:
-    """Least distance of log(amount) to log(column x scale), null without both."""
-    return F.least(*[F.abs(F.ln(amount.cast("double")) - F.ln(column.cast("double") * s)) for s in SCALES])
+def _residual(x: Column, y: Column, lo: Column, hi: Column) -> Column:
+    """Least distance of the logs of x and (if it's there) y to those of lo and hi x scale, null without them."""
+    off = lambda a, c, k: F.abs(F.ln(a.cast("double")) - F.ln(c.cast("double") * k))
+    return F.least(*[off(x, lo, k) + F.when(y.isNull(), 0.0).otherwise(off(y, hi, k)) for k in SCALES])
+
+
+def _readings() -> Column:
+    """Every reading (odd, later, x, y) of the figures n1 and n2 with scale words w1 and w2; odd counts unusual separators."""
+    w1, w2, two = F.col("__pay_w1").isNotNull(), F.col("__pay_w2").isNotNull(), F.col("__pay_n2").isNotNull()
+    f1, f2 = F.col("__pay_f1"), F.col("__pay_f2")
+    # A scale word of one side may hold for the other as well.
+    scales = ((True, F.when(two & w2 & ~w1, f2).otherwise(f1), F.when(w1 & ~w2, f1).otherwise(f2)), (two & (w1 != w2), f1, f2))
+    found = []
+    for later, (may, k1, k2) in enumerate(scales):
+        for odd1, how1 in enumerate("ab"):
+            for odd2, how2 in enumerate("ab"):
+                a, b = F.col(f"__pay_{how1}1"), F.col(f"__pay_{how2}2")
+                # Without a second figure, b is null in both ways.
+                there = a.isNotNull() & (b.isNotNull() | (~two if odd2 == 0 else F.lit(False))) & may
+                amount = lambda n, k: (n * k).cast("decimal(20,4)")
+                found.append(F.when(there, F.struct(F.lit(odd1 + odd2).alias("odd"), F.lit(later).alias("later"), amount(a, k1).alias("x"), amount(b, k2).alias("y"))))
+    return F.filter(F.array(*found), lambda r: r.isNotNull())
 
 
 #: How the names of columns begin that only the functions below see.
@@ -116,17 +137,22 @@ def pay_readings(df: DataFrame) -> DataFrame:
     df = df.withColumns({"__pay_c": F.coalesce(g(1), g(4), g(8), g(5)), "__pay_n1": g(2), "__pay_s1": F.coalesce(g(3), g(7)), "__pay_n2": g(6), "__pay_s2": g(7)})
     df = df.withColumns({"__pay_lo": F.least("salary_min", "salary_max"), "__pay_hi": F.greatest("salary_min", "salary_max")})  # either side alone counts for both
     stated = F.col("__pay_n1").isNotNull()
-    # A scale word behind the second figure holds for the first as well.
-    df = df.withColumns({"__pay_f1": _scale(F.col("__pay_s1")), "__pay_f2": _scale(F.col("__pay_s2"))})
-    df = df.withColumns({f"__pay_{k}{n}": (how(F.col(f"__pay_n{n}")) * F.col(f"__pay_f{n}")).cast("decimal(20,4)") for n in (1, 2) for k, how in (("a", _usual), ("b", _other))})
-    df = df.withColumns({f"__pay_r{k}{n}": _residual(F.col(f"__pay_{k}{n}"), F.col(c)) for n, c in ((1, "__pay_lo"), (2, "__pay_hi")) for k in "ab"})
-    pick = lambda n: F.when(F.col(f"__pay_rb{n}") < F.col(f"__pay_ra{n}") - 1e-6, F.col(f"__pay_b{n}")).otherwise(F.col(f"__pay_a{n}"))
-    tie = lambda n: F.coalesce(F.abs(F.col(f"__pay_ra{n}") - F.col(f"__pay_rb{n}")) <= 1e-6, F.lit(False))
+    df = df.withColumns({"__pay_w1": g(3), "__pay_w2": g(7)})
+    df = df.withColumns({"__pay_f1": _scale(F.col("__pay_w1")), "__pay_f2": _scale(F.col("__pay_w2"))})
+    df = df.withColumns({f"__pay_{k}{n}": how(F.col(f"__pay_n{n}")) for n in (1, 2) for k, how in (("a", _usual), ("b", _other))})
+    df = df.withColumn("__pay_all", F.when(stated, _readings()))
+    far = F.transform("__pay_all", lambda r: F.struct(_residual(r["x"], r["y"], F.col("__pay_lo"), F.col("__pay_hi")).alias("far"), r.alias("r")))
+    df = df.withColumn("__pay_far", far).withColumn("__pay_least", F.array_min(F.transform("__pay_far", lambda r: r["far"])))
+    df = df.withColumn("__pay_tied", F.filter("__pay_far", lambda r: F.coalesce(r["far"] <= F.col("__pay_least") + 1e-6, F.lit(True))))
+    apart = lambda r: F.coalesce(F.abs(F.ln(r["x"].cast("double")) - F.ln(r["y"].cast("double"))), F.lit(0.0))
+    usual = F.array_min(F.transform("__pay_tied", lambda t: F.struct(t["r"]["odd"].alias("odd"), apart(t["r"]).alias("apart"), t["r"]["later"].alias("later"), t["r"]["x"].alias("x"), t["r"]["y"].alias("y"))))
+    df = df.withColumn("__pay_best", usual)
+    sure = F.size(F.array_distinct(F.transform("__pay_tied", lambda t: F.struct(t["r"]["x"].alias("x"), t["r"]["y"].alias("y"))))) <= 1
     df = df.withColumns({
-        "__pay_x": F.when(stated, pick(1)).otherwise(F.col("__pay_lo").cast("decimal(20,4)")),
-        "__pay_y": F.when(stated, F.coalesce(pick(2), pick(1))).otherwise(F.col("__pay_hi").cast("decimal(20,4)")),
-        "ambiguous": stated & (tie(1) | tie(2)),
-        "residual": F.when(stated, F.least("__pay_ra1", "__pay_rb1")),
+        "__pay_x": F.when(stated, F.col("__pay_best.x")).otherwise(F.col("__pay_lo").cast("decimal(20,4)")),
+        "__pay_y": F.when(stated, F.coalesce("__pay_best.y", "__pay_best.x")).otherwise(F.col("__pay_hi").cast("decimal(20,4)")),
+        "ambiguous": stated & F.col("__pay_least").isNotNull() & ~sure,
+        "residual": F.when(stated, F.col("__pay_least")),
         "__pay_cc": currency_code(F.col("salary_currency")), "__pay_cp": period_code(F.col("salary_period")), "__pay_tp": F.when(stated, _period_in(t)),
     })
     col_cur = F.col("__pay_cc")
@@ -168,3 +194,10 @@ def pay_found(jobs: DataFrame, factors: DataFrame) -> DataFrame:
     r = yearly_usd(jobs.select(*PAY), factors).filter("job_uid is not null and min_usd_year is not null and max_usd_year is not null")
     best = r.groupBy("job_uid").agg(F.min(F.struct("min_usd_year", "max_usd_year")).alias("m"))
     return best.select("job_uid", "m.min_usd_year", "m.max_usd_year")
+
+
+def pay_flagged(jobs: DataFrame, factors: DataFrame) -> DataFrame:
+    """pay_found with from_text and ambiguous: whether the text was read, and whether another reading of it fits as well."""
+    r = yearly_usd(jobs.select(*PAY), factors).filter("job_uid is not null and min_usd_year is not null and max_usd_year is not null")
+    best = r.groupBy("job_uid").agg(F.min(F.struct("min_usd_year", "max_usd_year", "from_text")).alias("m"), F.max("ambiguous").alias("ambiguous"))
+    return best.select("job_uid", "m.*", "ambiguous")

@@ -5,7 +5,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
-from tallyforge.operators.units import CURRENCIES, PERIODS, pay_found, pay_readings
+from tallyforge.operators.units import CURRENCIES, PERIODS, pay_flagged, pay_found, pay_readings
 
 S = "job_uid string, salary_min long, salary_max long, salary_currency string, salary_period string, compensation string"
 F = "unit_kind string, unit_code string, factor double"
@@ -54,6 +54,21 @@ def test_ambiguous_is_flagged(make):
     assert {x.job_uid: x.ambiguous for x in r} == {"a": True, "b": False}
 
 
+@pytest.mark.parametrize(("cols", "text", "want"), [
+    ((900, 1200), "$900 to 1.2k a year", (900, 1200)), ((None, None), "$900 to 1.2k a year", (900, 1200)), ((47, 58), "$47k to 58 a year", (47000, 58000)),
+    ((None, None), "$47k to 58 a year", (47000, 58000)), ((47000, 58000), "$47-58k a year", (47000, 58000)), ((None, None), "$47k to 58000 a year", (47000, 58000)),
+    ((900, 900000), "$900 to 900k a year", (900, 900000)), ((None, None), "$47k a year", (47000, 47000)),
+])
+def test_scale_of_one_side(make, cols, text, want):
+    r = pay_readings(make(S, ("j", *cols, "USD", "year", text))).first()
+    assert (int(r.lo), int(r.hi), r.ambiguous) == (*want, False)
+
+
+def test_flagged(make):
+    rows = [("a", 58, 79, "usd", "annual", "58.000 to 79.000"), ("b", 58000, 79000, "usd", "annual", None)]
+    assert sorted(tuple(r) for r in pay_flagged(make(S, *rows), make(F, *FACTORS)).collect()) == [("a", 58000, 79000, True, True), ("b", 58000, 79000, False, False)]
+
+
 def _plain(row, factors):
     """A plain reading: figures by a tokenizer, units by first mention."""
     lo, hi = row.salary_min, row.salary_max
