@@ -168,18 +168,19 @@ def experience_master(df: DataFrame, key: str, rules: DataFrame) -> DataFrame:
     return rules.join(counts, "rule_id", "left").fillna(0, ["market_frequency"])
 
 
-def by_rules(df: DataFrame, key: str, column: str, rules: DataFrame, most_words: int = 4) -> DataFrame:
+def by_rules(df: DataFrame, key: str, column: str, rules: DataFrame) -> DataFrame:
     """(key, value, standard, confidence, how) by rules (pattern, standard): 'exact' 0.8, 'partial' 0.7 (the pattern is a run of words of the value), else the value itself, 0.5.
 
-    Runs of up to most_words words are joined by equality, so that no rule is compared with
-    every value; of several partial rules the longest, then the last standard by code point, holds.
+    Runs of as many words as some pattern has are joined by equality, and so are whole values,
+    so that no rule is compared with every value; of several partial rules the longest, then the last standard by code point, holds.
     Null and blank values stay, without a standard.
     """
     v = df.select(key, F.col(column).alias("value"), F.lower(F.trim(F.col(column))).alias("low"))
     r = rules.groupBy(F.lower(F.trim("pattern")).alias("pattern")).agg(F.min("standard").alias("standard"))
     words = F.split("low", r"\s+")
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most_words)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))))
-    part = v.select("low", F.explode(F.array_distinct(runs)).alias("pattern")).distinct().join(r, "pattern")
+    sizes = r.agg(F.collect_set(F.size(F.split("pattern", r"\s+"))).alias("sizes"))
+    runs = F.flatten(F.transform("sizes", lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))))
+    part = v.select("low").distinct().crossJoin(F.broadcast(sizes)).select("low", F.explode(F.array_distinct(F.concat(F.array("low"), runs))).alias("pattern")).distinct().join(r, "pattern")
     best = part.groupBy("low").agg(F.max(F.struct((F.col("pattern") == F.col("low")).alias("exact"), F.length("pattern").alias("n"), "standard")).alias("b"))
     out = v.join(best, "low", "left")
     how = F.when(F.col("b").isNull(), "none").when(F.col("b.exact"), "exact").otherwise("partial")

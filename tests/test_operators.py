@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyforge.operators import dml, incremental, joins, quality
+from tallyforge.operators import dml, incremental, joins, normalize, quality
 
 ROWS = st.lists(st.tuples(st.integers(0, 8), st.sampled_from(["a", "b", None])), max_size=12).map(lambda x: list({k: (k, v) for k, v in x}.values()))
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -136,3 +136,10 @@ def test_quality(spark, make):
     assert quality.drift({"ok": lambda: make(S), "broken": lambda: make(S).select("nope")}) == {"ok": "ok", "broken": "UNRESOLVED_COLUMN.WITH_SUGGESTION"}
     with pytest.raises(ValueError, match="keys"):
         quality.expect(make(S, (1, "a")), "keys")
+
+
+def test_rules_of_many_words(make):
+    rules = make("pattern string, standard string", ("one two three four five", "A"), ("b  c", "B"), ("six", "C"))
+    df = make("id int, v string", (1, "One two three four five"), (2, "x one two three four five y"), (3, "B  C"), (4, "six"), (5, "four five"), (6, None))
+    got = {r.id: (r.standard, r.how) for r in normalize.by_rules(df, "id", "v", rules).collect()}
+    assert got == {1: ("A", "exact"), 2: ("A", "partial"), 3: ("B", "exact"), 4: ("C", "exact"), 5: ("four five", "none"), 6: (None, "none")}
