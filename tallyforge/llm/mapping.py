@@ -173,18 +173,20 @@ def map_values(values: DataFrame, entries: DataFrame, rules: Rules, phrases: Seq
 
     v = stored(values.select("value").filter("value is not null").distinct().select("value", F.posexplode(words(F.col("value")))).withColumnsRenamed({"pos": "i", "col": "tok"}))
     alts = stored(repairs(v.select("tok"), Vocabulary.of(vocab.filter("word <> ''")), rules))
+    # The words of each token's readings that an entry with open context lets pass.
+    said = alts.select("tok", F.explode(F.array_distinct(F.flatten(F.transform("alts", lambda a: a["seq"])))).alias("word"))
+    opens = said.join(small_or_shuffled(stored(context), MAX_BROADCAST // 4), "word").groupBy("tok").agg(F.collect_set("word").alias("opens"))
+    alts = stored(alts.join(opens, "tok", "left"))
     read = v.join(small_or_shuffled(alts, MAX_BROADCAST // 4), "tok", "left")
     # A record of each value: its tokens with their readings.
-    val = stored(read.groupBy("value").agg(F.collect_list(F.struct("tok", "alts")).alias("toks")))
+    val = stored(read.groupBy("value").agg(F.collect_list(F.struct("tok", "alts", "opens")).alias("toks")))
     # An entry needs all its words, so its rarest word finds it.
     key = e.select(F.col("need")[0]["word"].alias("word"), "entry_id")
     found = F.array_distinct(F.flatten(F.flatten(F.transform("toks", lambda t: F.transform(F.coalesce(t["alts"], F.array()), lambda a: a["seq"])))))
     met = val.select("value", F.explode(found).alias("word")).join(few(key), "word").select("value", "entry_id").distinct()
     both = met.join(few(e), "entry_id").join(val, "value")
 
-    all_context = F.lit(None)
-    if context.limit(10_001).count() <= 10_000:  # the words that an entry with open context lets pass
-        all_context = F.array(*[F.lit(r.word) for r in context.collect()]) if n else F.array()
+    all_context = F.flatten(F.transform("toks", lambda t: F.coalesce(t["opens"], F.array().cast("array<string>"))))
     fill = F.array(*[F.lit(w) for w in rules.filler]).cast("array<string>")
     need_words = F.transform("need", lambda x: x["word"])
     passes = F.concat(need_words, F.col("context"), fill, F.when(F.col("open_context"), all_context).otherwise(F.array()).cast("array<string>"))
@@ -205,7 +207,10 @@ def map_values(values: DataFrame, entries: DataFrame, rules: Rules, phrases: Seq
 
 
 def place_entries(ref: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Entries of a place list: the city (or, without one, the name) with its state and country as context; names of several words."""
+    """Entries of a place list: the city (or, without one, the name) with its state and country as context; names of several words.
+
+    More than 10,000 different states and countries of several words raise an error.
+    """
     named = F.coalesce("city", "location_name")
     ctx = F.filter(F.array("state_code", "state", "country", "country_code", F.when(F.col("country_code") == "GB", F.lit("uk")), F.when(F.col("country_code") == "UK", F.lit("gb"))), lambda x: x.isNotNull())
     entries = ref.select(F.col("location_id").alias("entry_id"), named.alias("name"), ctx.alias("context"), F.col("country").isNull().alias("open_context"))

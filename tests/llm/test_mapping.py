@@ -65,3 +65,11 @@ def test_settled_rows_of_the_test_table(spark):
     j = rows.select(F.col("mapping_id").cast("string").alias("record_id"), "location_standardized").join(got, "record_id").join(ref, "ref_id", "left")
     n = j.count()
     assert n > 100 and j.filter("location_name = location_standardized").count() / n > 0.98
+
+
+def test_open_context_of_a_long_list(make):
+    names = ["".join(chr(97 + i // 26**k % 26) for k in range(6)) for i in range(10_050)]
+    entries = make("entry_id string, name string, context array<string>, open_context boolean", ("r", "Remote", [], True), ("z", "Zzyzx", names, False))
+    values = make("value string, entry_id string", ("remote " + names[77], "x"), ("remote quxquxqux", "x"), ("remote", "x"))
+    got = {r.value: r.entry_id for r in m.map_values(values, entries, m.Rules()).collect()}
+    assert got == {"remote " + names[77]: "r", "remote quxquxqux": None, "remote": "r"}
