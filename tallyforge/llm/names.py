@@ -10,7 +10,8 @@ city, short ones with several fields. As two spellings are linked only if such f
 agree, no block has to be discarded. Pairs are compared by the ratio of their longest
 common subsequence, which may be lower the more fields agree; links that any field
 contradicts are dropped. Links are closed to groups. A name without industry that no
-field links joins a group only if no other group fits its spelling.
+field links joins a group only if no other group fits its spelling, and so do names
+without industry that only their city links, together.
 
 Records that don't differ in any of these fields are one node, so that an organisation
 with very many records costs no more than one with few.
@@ -184,17 +185,19 @@ def linked_names(records: DataFrame) -> DataFrame:
     keys = spelt.select("key").distinct()
     labels = stored(keys.join(components(across.unionByName(within)), F.col("key") == F.col("v"), "left").select("key", F.coalesce("label", "key").alias("org")))
     # Names that nothing but their spelling places.
-    alone = labels.groupBy("org").agg(F.count("*").alias("n"), F.min("key").alias("key")).filter("n = 1").select("key")
-    lone = stored(spelt.filter("industry is null").join(alone, "key"))
+    told = spelt.groupBy("key").agg(F.max("industry").alias("told"))
+    alone = labels.join(told, "key").groupBy("org").agg(F.count("*").alias("n"), F.max("told").alias("told")).filter("told is null").select("org", "n")
+    lone = stored(spelt.join(labels.join(alone, "org"), "key"))
     strict = (RATIOS[0],) * 3
     loose = _pairs(nodes.join(lone.select("node").distinct(), "node"), nodes.filter("industry is not null"), BLOCKS[0][0], (), strict)
     org_of = spelt.filter("industry is not null").select(F.col("node").alias("node_b"), "key").join(labels, "key").select("node_b", "org").distinct()
     placed = loose.join(org_of, "node_b").groupBy(F.col("node_a").alias("node")).agg(F.min("org").alias("lo"), F.max("org").alias("hi"))
     # One group fits: that one. None: those of one spelling are together. Several: each stays alone.
-    own = lone.join(placed, "node", "left").join(rep, "node")
+    moved = lone.filter("n > 1").join(placed, "node").groupBy("org").agg(F.min("lo").alias("moved"), F.max("hi").alias("hi")).filter("moved = hi").select("org", "moved")
+    own = lone.filter("n = 1").join(placed, "node", "left").join(rep, "node")
     own = own.withColumn("to", F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("lo").isNull() & bare, F.col("rep")).otherwise(F.col("key")))
     own = own.groupBy("key").agg(F.min("to").alias("x"), F.max("to").alias("y")).select("key", F.when(F.col("x") == F.col("y"), F.col("x")).otherwise(F.col("key")).alias("placed"))
-    return labels.join(own, "key", "left").select("key", F.coalesce("placed", "org").alias("org"))
+    return labels.join(own, "key", "left").join(moved, "org", "left").select("key", F.coalesce("placed", "moved", "org").alias("org"))
 
 
 def key_pairs(orgs: DataFrame) -> DataFrame:

@@ -53,3 +53,9 @@ def test_components_of_a_chain(make):
 def test_pairs_are_ordered_and_complete(make):
     orgs = make("key string, org string", ("c2", "o"), ("p1", "o"), ("c1", "o"), ("q", "r"))
     assert {(r.key_a, r.key_b) for r in names.key_pairs(orgs).collect()} == {("c1", "c2"), ("c1", "p1"), ("c2", "p1")}
+
+
+def test_keys_linked_by_city_join_a_group_together(make):
+    same = [("a", "Nokrelbun Marine Ltd", "Marine", None), ("b", "Nokrelbun", None, "X"), ("c", "Nokrelbun Ltd", None, "X")]
+    several = [("d", "Tolvarkin Marine Ltd", "Marine", None), ("e", "Tolvarkin Mining", "Mining", None), ("f", "Tolvarkin", None, "Y"), ("g", "Tolvarkin", None, "Y")]
+    assert groups(make, *same, *several) == [["a", "b", "c"], ["d"], ["e"], ["f", "g"]]
