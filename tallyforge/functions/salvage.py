@@ -3,60 +3,52 @@
 from __future__ import annotations
 
 import json
-import re
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FENCE = re.compile(r"```(?:json)?\s*(\{.*?\})\s*```", re.DOTALL)
 SECTIONS = ("salary_info", "experience_requirements", "skills", "work_arrangement", "job_classification")
-MOST_DEPTH = 50
 
 
-def balanced(text: str, most_depth: int = MOST_DEPTH) -> str | None:
-    """The first balanced {...} of a text; braces within strings don't count. None if it never closes or nests too deep."""
-    start = text.find("{")
-    if start < 0:
-        return None
-    depth, quoted, skip = 0, False, False
-    for i in range(start, len(text)):
-        c = text[i]
-        if skip:
-            skip = False
-        elif c == "\\":
-            skip = True
-        elif c == '"':
-            quoted = not quoted
-        elif not quoted and c in "{}":
-            depth += 1 if c == "{" else -1
-            if depth > most_depth:
-                return None
-            if depth == 0:
-                return text[start : i + 1]
-    return None
+def _objects_in(text: str):
+    """The JSON objects that begin at a brace of the text, one after another.
+
+    A brace at which no object parses is left, and the search goes on where its parsing
+    failed, so a stray brace hides nothing behind it, a broken object isn't replaced by one
+    of its parts, and the whole takes one pass.
+    """
+    decoder, at = json.JSONDecoder(), text.find("{")
+    while at >= 0:
+        try:
+            got, after = decoder.raw_decode(text, at)
+            yield got
+        except json.JSONDecodeError as e:
+            after = max(e.pos, at + 1)
+        except RecursionError:  # nested deeper than the decoder goes: no answer to be read
+            return
+        at = text.find("{", after)
 
 
 def salvage(text: str | None) -> str | None:
-    """The JSON object of an answer as compact text, None if there is none."""
-    if not text or not text.strip():
+    """The JSON object of an answer as compact text, None if there is none.
+
+    What is fenced goes before prose. An answer that is a list has none; an empty object
+    counts only if it is the whole answer.
+    """
+    bare = (text or "").strip()
+    if bare == "{}":
+        return bare
+    if bare.startswith("["):
         return None
-    fenced = FENCE.search(text)
-    for part in (text.strip(), fenced and fenced.group(1), balanced(text)):
-        if part:
-            try:
-                got = json.loads(part)
-            except ValueError:
-                continue
-            if isinstance(got, dict):
-                return json.dumps(got, ensure_ascii=False, separators=(",", ":"))
-    return None
+    found = next((got for part in (*bare.split("```")[1::2], bare) for got in _objects_in(part) if got), None)
+    return None if found is None else json.dumps(found, ensure_ascii=False, separators=(",", ":"))
 
 
 @F.pandas_udf(T.StringType())
 def salvaged_json(s: pd.Series) -> pd.Series:
-    """salvage() in Arrow batches; the bracket scan is the one thing here that needs Python."""
+    """salvage() in Arrow batches; finding where an object begins is the one thing here that needs Python."""
     return s.map(salvage)
 
 

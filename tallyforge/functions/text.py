@@ -111,7 +111,7 @@ def job_title(c: Column) -> Column:
 
     def word(w: Column) -> Column:
         parts = F.regexp_extract_all(w, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-        cased = F.array_join(F.transform(parts, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1000)))), "")
+        cased = F.array_join(F.transform(parts, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substr(x, F.lit(2))))), "")
         return F.when((w == F.upper(w)) & (F.lower(w) != w) & (F.length(w) > 1), w).when(F.lower(w).isin(*CAPITALS), F.upper(w)).otherwise(cased)
 
     return F.array_join(F.transform(F.split(squeeze(t), " "), word), " ")

@@ -127,20 +127,6 @@ def append_history(df: DataFrame, path: str, run_at: Column) -> None:
     df.withColumn("run_at", run_at).write.mode("append").parquet(path)
 
 
-def swap_table(df: DataFrame, path: str) -> None:
-    """Writes beside the table and renames, so that readers see the old or the new table and nothing between."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    to, new, old = (jvm.org.apache.hadoop.fs.Path(path + x) for x in ("", ".new", ".old"))
-    df.write.mode("overwrite").parquet(path + ".new")
-    fs.delete(old, True)
-    if fs.exists(to):
-        fs.rename(to, old)
-    fs.rename(new, to)
-    fs.delete(old, True)
-
-
 def split_rejects(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows with the names of the checks they fail): one bad row doesn't stop a batch."""
     failed = F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]), lambda x: x.isNotNull())

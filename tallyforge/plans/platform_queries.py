@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions import salvage
 from tallyforge.functions.text import employment_status_sql
+from tallyforge.operators.versioned import VersionedTable
 from tallyforge.plans.registry import registry
 from tallyforge.session import shared_dir
 from tallyforge.sources import platforms
@@ -66,9 +67,9 @@ def session_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT user_id, event_id, ts, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     """The whole event table streamed into an upserted table, as a micro-batch job that ends."""
-    base = tempfile.mkdtemp(dir=shared_dir(spark).removeprefix("file:")) if spark.sparkContext.master.startswith("local[") else f"{shared_dir(spark)}/stream-{spark.sparkContext.applicationId}"
+    base = f"{shared_dir(spark)}/tallyforge-{spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}"
     schema = "user_id bigint, event_id bigint, ts timestamp_ntz, value double"
-    target = streams.VersionedTable(spark, f"{base}/table", schema)
+    target = VersionedTable(spark, f"{base}/table", schema, ["user_id"])
     events = table(spark, d, "events")
     events.select("user_id", "event_id", "ts", "value").repartitionByRange(4, "ts").write.mode("overwrite").parquet(f"{base}/in")
     stream = streams.file_stream(spark, f"{base}/in", schema, files_per_batch=2)

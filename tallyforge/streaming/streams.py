@@ -6,14 +6,13 @@ kind have; they are extensions.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.operators.dml import latest_per_key, merge_upsert
+from tallyforge.operators.versioned import VersionedTable
 
 
 def file_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet", files_per_batch: int = 100, **options: str) -> DataFrame:
@@ -24,53 +23,22 @@ def file_stream(spark: SparkSession, folder: str, schema, fmt: str = "parquet",
     return r.load(folder)
 
 
-class VersionedTable:
-    """A Parquet table whose current version a pointer file names, for writers without a table format.
-
-    A version is written whole to a new folder and the pointer is then replaced, so
-    readers see one version or the next. Batches may be delivered twice; a merge of the
-    same batch leaves the same table.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
-        self.spark, self.path, self.schema = spark, path, schema
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def current(self) -> str | None:
-        p = self._path(f"{self.path}/CURRENT")
-        if not self._fs.exists(p):
-            return None
-        return self.spark.read.text(f"{self.path}/CURRENT").first()[0]
-
-    def read(self) -> DataFrame:
-        v = self.current()
-        return self.spark.createDataFrame([], self.schema) if v is None else self.spark.read.schema(self.schema).parquet(f"{self.path}/{v}")
-
-    def replace(self, df: DataFrame) -> None:
-        v, old = f"v-{uuid.uuid4().hex}", self.current()
-        df.write.parquet(f"{self.path}/{v}")
-        tmp, to = self._path(f"{self.path}/CURRENT.{v}"), self._path(f"{self.path}/CURRENT")
-        out = self._fs.create(tmp, True)
-        out.write(bytearray(v.encode()))
-        out.close()
-        self._fs.delete(to, False)
-        self._fs.rename(tmp, to)
-        if old:
-            self._fs.delete(self._path(f"{self.path}/{old}"), True)
-
-
 def upsert_stream(stream: DataFrame, target: VersionedTable, keys: Sequence[str], order: Sequence, checkpoint: str):
     """Merges a stream into a table, the latest row of each key winning; runs until what is there is read, then stops.
 
     A late row loses against a newer one already in the table, as both compete by the order.
+    Batches may be delivered twice; a merge of the same batch leaves the same table. A batch
+    writes only the buckets of its keys.
     """
+    if target.keys != list(keys):
+        raise ValueError(f"the table is bucketed by {target.keys}")
 
     def batch(df: DataFrame, _: int) -> None:
-        there = target.read()
-        touched = there.join(df.select(*keys).distinct(), list(keys), "left_semi")
-        target.replace(merge_upsert(there, latest_per_key(df.select(*there.columns).unionByName(touched), keys, order), keys))
+        df.persist()
+        try:
+            target.merge(df, order)
+        finally:
+            df.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -26,6 +26,10 @@ def test_titles(spark, raw, want):
     assert one(spark, raw, text.job_title) == want
 
 
+def test_long_words_of_titles_stay_whole(spark):
+    assert one(spark, "x" * 5000, text.job_title) == "X" + "x" * 4999
+
+
 @pytest.mark.parametrize(
     ("raw", "want"),
     [
@@ -94,7 +98,7 @@ def test_combined_detectors(spark):
 
 @pytest.mark.parametrize(
     ("raw", "want"),
-    [('{"a": 1}', '{"a":1}'), ('Sure:\n```json\n{"a": {"b": "}"}}\n``` bye', '{"a":{"b":"}"}}'), ('so {"a": [1, 2]} it is', '{"a":[1,2]}'), ("none here", None), ("", None), (None, None), ("{" * 60 + "}" * 60, None), ("[1]", None)],
+    [('{"a": 1}', '{"a":1}'), ('Sure:\n```json\n{"a": {"b": "}"}}\n``` bye', '{"a":{"b":"}"}}'), ('so {"a": [1, 2]} it is', '{"a":[1,2]}'), ("none here", None), ("", None), (None, None), ("{" * 60 + "}" * 60, None), ("[1]", None), ('use {braces} so {"a": 1}', '{"a":1}'), ('{"a": {"b": 1}, oops', None), ("{}", "{}"), ('```\n{"q": 1,}\n``` {"z": 2}', '{"z":2}')],
 )
 def test_salvage(raw, want):
     assert salvage.salvage(raw) == want

@@ -86,6 +86,11 @@ def test_reports(make, tmp_path):
     df = make("a string, b int", ("<x>|", 1), (None, 2))
     h, m = report.as_html(df, "T"), report.as_markdown(df)
     assert "&lt;x&gt;|" in h and "<td></td>" in h and "\\|" in m
+    assert "<p>2 rows</p>" in h and "<li>1: 1</li>" in report.as_html(df, "T", ["b"])
+    assert report.as_text(df, "csv") == "a,b\n<x>|,1\n,2" and report.as_text(df, "json").splitlines()[1] == '{"a": null, "b": 2}'
+    long = df.sparkSession.range(report.PAGE_ROWS + 7).toDF("i")
+    want = f"the first {report.PAGE_ROWS} of {report.PAGE_ROWS + 7} rows"
+    assert want in report.as_html(long) and report.as_markdown(long).endswith(want)
     p = report.write_report(df, f"{tmp_path}/r_{{date}}.html", "html", dt.date(2024, 5, 6))
     assert p.endswith("r_20240506.html")
     with pytest.raises(ValueError):
@@ -95,7 +100,7 @@ def test_reports(make, tmp_path):
 def test_stream_upsert_twice_is_the_same(spark, make, tmp_path):
     schema = "k long, t long, v string"
     make(schema, (1, 1, "a"), (1, 3, "c"), (2, 1, "x")).write.parquet(f"{tmp_path}/in/1")
-    t = streams.VersionedTable(spark, f"{tmp_path}/t", schema)
+    t = streams.VersionedTable(spark, f"{tmp_path}/t", schema, ["k"])
     run = lambda c: streams.upsert_stream(streams.file_stream(spark, f"{tmp_path}/in/*", schema), t, ["k"], [F.desc("t")], f"{tmp_path}/{c}").awaitTermination()
     run("c1")
     make(schema, (1, 2, "late"), (3, 1, "new")).write.parquet(f"{tmp_path}/in/2")

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyforge.operators import dml, incremental, joins, normalize, quality
+from tallyforge.operators.versioned import VersionedTable
 
 ROWS = st.lists(st.tuples(st.integers(0, 8), st.sampled_from(["a", "b", None])), max_size=12).map(lambda x: list({k: (k, v) for k, v in x}.values()))
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -66,13 +67,59 @@ def test_writers(spark, make, tmp_path):
     dml.write_full(make("k long, d string", (1, "x"), (2, "y")), p, ["d"])
     dml.write_partitions(make("k long, d string", (7, "x")), p, ["d"])
     assert rows(spark.read.parquet(p).select("k", "d")) == [(2, "y"), (7, "x")]
-    dml.swap_table(make(S, (5, "z")), p)
-    assert rows(spark.read.parquet(p)) == [(5, "z")]
     dml.append_history(make(S, (5, "z")), f"{tmp_path}/h", F.lit("now"))
     dml.append_history(make(S, (6, "z")), f"{tmp_path}/h", F.lit("now"))
     assert spark.read.parquet(f"{tmp_path}/h").count() == 2
 
 
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_write", "_publish", "_tidy", "create", "rename"])
+@pytest.mark.parametrize("change", ["replace", "merge"])
+def test_a_writer_that_stops_leaves_a_whole_table(spark, make, tmp_path, monkeypatch, step, change):
+    """Stops before or after each step: readers see the old or the new table, and the next change goes through."""
+    for after in (False, True):
+        t = VersionedTable(spark, f"{tmp_path}/{after}", S, ["k"], 4)
+        t.replace(make(S, (1, "a"), (2, "b")))
+        t.replace(make(S, (1, "a"), (2, "b"), (3, "c")))
+        do = lambda: t.replace(make(S, (9, "z"))) if change == "replace" else t.merge(make(S, (2, "x"), (4, "d")), [F.desc("v")])  # noqa: B023, E731
+        new = [(9, "z")] if change == "replace" else [(1, "a"), (2, "x"), (3, "c"), (4, "d")]
+        on = t._fs if step in ("create", "rename") else t
+        real = getattr(on, step)
+
+        def stopping(*a, real=real, after=after):
+            if after:
+                real(*a)
+            raise Stop
+
+        if on is t:
+            monkeypatch.setattr(t, step, stopping)
+        else:
+            t._fs = type("Fs", (), {"__getattr__": lambda _, n, on=on: stopping if n == step else getattr(on, n)})()
+        with pytest.raises(Stop):
+            do()
+        monkeypatch.undo()
+        t._fs = on if on is not t else t._fs
+        assert rows(t.read()) in ([(1, "a"), (2, "b"), (3, "c")], new)
+        do()
+        assert rows(t.read()) == new
+
+
+def test_a_merge_writes_touched_buckets_only(spark, make, tmp_path):
+    t = VersionedTable(spark, f"{tmp_path}/t", S, ["k"], 8)
+    assert rows(t.read()) == []
+    t.replace(make(S, *[(i, "a") for i in range(40)]))
+    before = t.current()
+    t.merge(make(S, (3, "b"), (3, "A")), [F.desc("v")])
+    after = t.current()
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert rows(t.read()) == sorted(((i, "b" if i == 3 else "a") for i in range(40)), key=str)
+    t.merge(make(S), [F.desc("v")])
+    assert t.current() == after
+
+
 @FEW
 @given(values=st.lists(st.integers(-5, 25), max_size=15), bands=st.lists(st.tuples(st.integers(0, 20), st.one_of(st.none(), st.integers(0, 20))), max_size=6))
 def test_band_join_against_a_loop(make, values, bands):
