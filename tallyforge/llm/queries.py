@@ -9,14 +9,15 @@ from tallyforge.llm import mapping, mixture, names, neardup, spans, survivor, to
 from tallyforge.session import stored
 from tallyforge.sources.tables import table
 
+PLACE_LIST, KEYWORD_LIST = "location_mapping", "keywords_normalized"
 
-def _places(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
-    entries, phrases = mapping.place_entries(table(spark, d, "ref_locations"))
-    return mapping.mapped(rows, mapping.map_values(rows.select("value"), entries, mapping.PLACES, phrases))
 
-
-def _keywords(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
-    return mapping.mapped(rows, mapping.map_values(rows.select("value"), mapping.keyword_entries(table(spark, d, "ref_keywords")), mapping.KEYWORDS))
+def _meant(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    """(record_id, source_table, ref_id) of rows (list, record_id, value) of both lists."""
+    places, words = mapping.place_entries(table(spark, d, "ref_locations")), mapping.keyword_entries(table(spark, d, "ref_keywords"))
+    entries = places.withColumn("list", F.lit(PLACE_LIST)).unionByName(words.withColumn("list", F.lit(KEYWORD_LIST)))
+    found = mapping.map_lists(rows.select("list", "value"), entries, {PLACE_LIST: mapping.PLACES, KEYWORD_LIST: mapping.KEYWORDS})
+    return mapping.mapped(rows.withColumn("source_table", F.col("list")), found, ("list", "value"), ("record_id", "source_table"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -24,9 +25,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     places = places.groupBy(F.col("mapping_id").cast("string").alias("record_id")).agg(F.min("location_raw").alias("value"))
     words = table(spark, d, "keywords_normalized").filter("keyword_id is not null").groupBy(F.col("keyword_id").alias("record_id"))
     words = words.agg(F.max("canonical_form").alias("settled"), F.min("keyword_text").alias("value")).filter("settled is null").drop("settled")
-    found = [("location_mapping", _places(spark, d, places)), ("keywords_normalized", _keywords(spark, d, words))]
-    a, b = (df.select(F.lit(name).alias("source_table"), "record_id", "ref_id") for name, df in found)
-    return a.unionByName(b)
+    rows = places.withColumn("list", F.lit(PLACE_LIST)).unionByName(words.withColumn("list", F.lit(KEYWORD_LIST)))
+    return _meant(spark, d, rows).select("source_table", "record_id", "ref_id")
 
 
 def _postings(spark: SparkSession, d: str) -> neardup.NearDuplicates:

@@ -12,9 +12,8 @@ REF = [
 
 def place(make, *values):
     ref = make(PLACES, *[(*r, "v", "t") for r in REF])
-    entries, phrases = m.place_entries(ref)
     rows = make("record_id string, value string, entry_id string", *[(str(i), v, "x") for i, v in enumerate(values)])
-    got = m.mapped(rows, m.map_values(rows.select("value"), entries, m.PLACES, phrases)).collect()
+    got = m.mapped(rows, m.map_values(rows.select("value"), m.place_entries(ref), m.PLACES)).collect()
     return [r.ref_id for r in sorted(got, key=lambda r: int(r.record_id))]
 
 
@@ -60,7 +59,7 @@ def test_settled_rows_of_the_test_table(spark):
 
     d = "/root/testdata/sf0.01"
     rows = spark.read.parquet(f"{d}/location_mapping.parquet").filter("location_standardized is not null")
-    got = queries._places(spark, d, rows.select(F.col("mapping_id").cast("string").alias("record_id"), F.col("location_raw").alias("value")))
+    got = queries._meant(spark, d, rows.select(F.lit(queries.PLACE_LIST).alias("list"), F.col("mapping_id").cast("string").alias("record_id"), F.col("location_raw").alias("value")))
     ref = spark.read.parquet(f"{d}/ref_locations.parquet").select(F.col("location_id").alias("ref_id"), "location_name")
     j = rows.select(F.col("mapping_id").cast("string").alias("record_id"), "location_standardized").join(got, "record_id").join(ref, "ref_id", "left")
     n = j.count()
@@ -73,3 +72,30 @@ def test_open_context_of_a_long_list(make):
     values = make("value string, entry_id string", ("remote " + names[77], "x"), ("remote quxquxqux", "x"), ("remote", "x"))
     got = {r.value: r.entry_id for r in m.map_values(values, entries, m.Rules()).collect()}
     assert got == {"remote " + names[77]: "r", "remote quxquxqux": None, "remote": "r"}
+
+
+@pytest.mark.parametrize(("a", "b", "want"), [("abc", "abc", 0), ("abc", "acb", 1), ("abcd", "badc", 2), ("enxineernga", "engineering", 3), ("", "ab", 2), ("abcdef", "a", 3), ("kitten", "sittin", 2)])
+def test_distance(a, b, want):
+    assert m.distance(a, b) == m.distance(b, a) == want
+
+
+def test_three_edits_are_too_many(make):
+    ref = make("keyword_ref_id string, keyword_name string", ("k1", "engineering"))
+    values = make("value string", ("enxineernga",), ("enxineerign",), ("engineering",))
+    got = {r.value: r.entry_id for r in m.map_values(values, m.keyword_entries(ref), m.KEYWORDS).collect()}
+    assert got == {"enxineernga": None, "enxineerign": "k1", "engineering": "k1"}
+
+
+def test_phrases_longer_first_and_apart(make):
+    texts = make("list string, value string, text string", ("x", "1", "New North Carolina Heights of north carolina"), ("x", "2", "carolina heights"), ("y", "3", "north carolina"), ("x", "4", None))
+    phrases = make("list string, phrase string, n int", ("x", "north carolina", 2), ("x", "carolina heights", 2), ("x", "new north carolina", 3))
+    got = {r.value: r.words for r in m._worded(texts, phrases, ["value"]).collect()}
+    assert got == {"1": ["newnorthcarolina", "heights", "of", "northcarolina"], "2": ["carolinaheights"], "3": ["north", "carolina"], "4": []}
+
+
+def test_two_lists_in_one_pass(make):
+    """Each list has its own words and rules, even for the same value."""
+    e = make("list string, entry_id string, name string, context array<string>, open_context boolean", ("p", "1", "Fort Mill", ["NC"], False), ("k", "1", "fort mill planning", [], False))
+    v = make("list string, value string", ("p", "ft mill nc"), ("k", "ft mill nc"), ("k", "fort mill plan"), ("p", "fort mill plan"))
+    got = {(r.list, r.value): r.entry_id for r in m.map_lists(v, e, {"p": m.PLACES, "k": m.KEYWORDS}).collect()}
+    assert got == {("p", "ft mill nc"): "1", ("k", "fort mill plan"): "1"}
