@@ -59,3 +59,25 @@ def test_keys_linked_by_city_join_a_group_together(make):
     same = [("a", "Nokrelbun Marine Ltd", "Marine", None), ("b", "Nokrelbun", None, "X"), ("c", "Nokrelbun Ltd", None, "X")]
     several = [("d", "Tolvarkin Marine Ltd", "Marine", None), ("e", "Tolvarkin Mining", "Mining", None), ("f", "Tolvarkin", None, "Y"), ("g", "Tolvarkin", None, "Y")]
     assert groups(make, *same, *several) == [["a", "b", "c"], ["d"], ["e"], ["f", "g"]]
+
+
+def test_reordered_parts_meet(make):
+    got = groups(
+        make, ("a", "Harlow Benton Inc", "Marine", "X"), ("b", "Benton Harlow Inc", "Marine", "X"), ("c", "Northwind Traders Ltd", "Food", None), ("d", "Traders, Northwind Ltd.", "Food", None),
+        ("e", "Northwind Growers Ltd", "Food", None),
+    )
+    assert got == [["a", "b"], ["c", "d"], ["e"]]
+
+
+def test_short_forms_of_industries_are_learned(make):
+    rows = [(f"{t}{i}", f"{n} {w} Ltd", "Aviation", c) for i, (n, c) in enumerate([("Nokrelbun", "X"), ("Tolvarkin", "Y"), ("Vexolmundrika", "Z")]) for t, w in (("a", "Aviation"), ("b", "Avn"))]
+    got = groups(make, *rows, ("q", "Avin Aviation", "Aviation", "Q"), ("r", "Avin Aviation Ltd", "Aviation", "Q"))
+    assert got == [["a0", "b0"], ["a1", "b1"], ["a2", "b2"], ["q", "r"]]
+
+
+def test_overly_common_suffixes_are_refined(make, monkeypatch):
+    """Many names of one industry end alike; with blocks of four at most the spellings still meet through city and longer suffixes."""
+    monkeypatch.setattr(names, "OVERLY_COMMON", 4)
+    heads = ["Bralk", "Crond", "Drusp", "Flenz", "Gromv", "Hurnt", "Jesqu", "Klimp", "Morvd", "Pluxt", "Quosh", "Rindg"]
+    rows = [(f"{h}{t}", f"{h}ington {t}", "Marine", None if t == "" else h) for h in heads for t in ("", "Ltd", "Ltd.")]
+    assert groups(make, *rows) == sorted(sorted(f"{h}{t}" for t in ("", "Ltd", "Ltd.")) for h in heads)
