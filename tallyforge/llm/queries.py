@@ -80,7 +80,12 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_spans(table(spark, d, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_organisations": p6_organisations, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p2_found": p2_found, "p2_classes": p2_classes, "p9_found": p9_found, "p3_found": p3_found, "p3_learned": p3_learned, "p7_ids": p7_ids}
+def p9_kept(spark: SparkSession, d: str) -> DataFrame:
+    """The documents without sentences that repeat an earlier document."""
+    return spans.SharedSpans(table(spark, d, "documents")).kept()
+
+
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_organisations": p6_organisations, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p2_found": p2_found, "p2_classes": p2_classes, "p9_found": p9_found, "p9_kept": p9_kept, "p3_found": p3_found, "p3_learned": p3_learned, "p7_ids": p7_ids}
 
 
 def _p3_sql() -> str:

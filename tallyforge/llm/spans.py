@@ -1,19 +1,29 @@
-"""Long exact spans shared between records.
+"""Long exact spans shared between records, and what is left of records without their repeats.
 
 Runs of sentences are hashed and joined globally, with two changes that exactness
 needs. Sentences are cut by content, not by punctuation: a shared run may begin and
 end within a sentence, and a sentence may be longer than the run. So the cuts are the
 places of least hash (winnowing): every run of min_chars characters holds, wherever it
-stands, a span of ANCHOR characters that is cut in all records alike. And the ends of a
-run are found to the character: around the anchors that stand in more than one record,
-every window of min_chars characters is hashed; a character is shared if it lies in a
-window that also stands in another record. All joins are on hashes of single spans; no
-pairs of records are made, so a passage that a third of the records share costs no more
-than its characters. Whole copies are collapsed to one text before all that.
+stands, a span of half that length, an anchor, that is cut in all records alike. And the
+ends of a run are found to the character. Around an anchor that stands in more than one
+record lies its context, all windows of min_chars characters that hold the anchor. Records
+with the same context share all of it at once, as one interval; that is so all through the
+inside of a repeated passage. Only where contexts of an anchor differ, at the ends of
+passages, their windows are hashed one by one, once for each different context and once
+for each record that is alone with its context. A character is shared if it lies in a
+window that also stands in another record.
+
+Joins are on hashes of single spans; no pairs of records are made, so a passage that a
+third of the records share costs no more than its anchors. Whole copies are collapsed to
+one text before all that. Contexts and windows are the same if two hashes of 64 bits are.
+
+The first record, by id, that has a window keeps it; in the others it's a repeat. Sentences
+that lie in repeats are removed by kept().
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -26,7 +36,7 @@ from tallyforge.session import stored
 
 MIN_CHARS = 200
 #: Multipliers of the rolling hash (odd) and of its finish.
-BASE = np.uint64(0x9E3779B97F4A7C15)
+BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -42,19 +52,20 @@ def _inverse(a: int) -> int:
 
 
 class Hasher:
-    """Hashes of all spans of one length in a text, from one pass of prefix sums."""
+    """Hashes of spans of a text, from one pass of prefix sums."""
 
-    def __init__(self) -> None:
+    def __init__(self, base: np.uint64 = BASES[0]) -> None:
+        self.base = base
         self._up = self._down = np.ones(1, np.uint64)
 
     def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self._up) < n:
             with np.errstate(over="ignore"):
                 m = max(n, 2 * len(self._up))
-                b = np.full(m, BASE)
+                b = np.full(m, self.base)
                 b[0] = 1
                 self._up = np.multiply.accumulate(b)
-                b[1:] = np.uint64(_inverse(int(BASE)))
+                b[1:] = np.uint64(_inverse(int(self.base)))
                 self._down = np.multiply.accumulate(b)
         return self._up[:n], self._down[:n]
 
@@ -65,10 +76,10 @@ class Hasher:
             np.cumsum(_mix(codes.astype(np.uint64) + np.uint64(1)) * up, out=out[1:])
         return out
 
-    def spans(self, prefix: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    def spans(self, prefix: np.ndarray, starts: np.ndarray, sizes: int | np.ndarray) -> np.ndarray:
         _, down = self.powers(len(prefix))
         with np.errstate(over="ignore"):
-            return _mix((prefix[starts + size] - prefix[starts]) * down[starts] + np.uint64(size))
+            return _mix((prefix[starts + sizes] - prefix[starts]) * down[starts] + np.asarray(sizes).astype(np.uint64))
 
 
 def _codes(text: str) -> np.ndarray:
@@ -95,72 +106,136 @@ def winnow(h: np.ndarray, w: int) -> np.ndarray:
     return np.nonzero(_slide(np.concatenate([pad, least, pad]), w, np.maximum) == h)[0]
 
 
+def _table(columns: dict[str, tuple[list[np.ndarray], type]]) -> pa.RecordBatch:
+    """A batch of columns that come in pieces."""
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, k)) for x, k in columns.values()], names=list(columns))
+
+
 def _anchors(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
-    hasher, size = Hasher(), min_chars // 2
+    """The anchors of each text with their contexts: where they begin and end, and two hashes."""
+    one, two = (Hasher(b) for b in BASES)
+    size = min_chars // 2
+    around = min_chars - size
     for b in batches:
-        ids, at, hs = [], [], []
+        out = {"doc_id": ([], np.int64), "at": ([], np.int32), "lo": ([], np.int32), "hi": ([], np.int32), "h": ([], np.int64), "c": ([], np.int64), "e": ([], np.int64)}
         for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             c = _codes(t)
-            h = hasher.spans(hasher.prefix(c), np.arange(len(c) - size + 1), size)
-            p = winnow(h, min_chars - size + 1)
-            ids.append(np.full(len(p), i, np.int64))
-            at.append(p.astype(np.int32))
-            hs.append(h[p].view(np.int64))
-        cat = [np.concatenate(x) if x else np.zeros(0, k) for x, k in ((ids, np.int64), (at, np.int32), (hs, np.int64))]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in cat], names=["doc_id", "at", "h"])
+            x, y = one.prefix(c), two.prefix(c)
+            h = one.spans(x, np.arange(len(c) - size + 1), size)
+            p = winnow(h, around + 1)
+            lo, hi = np.maximum(p - around, 0), np.minimum(p + size + around, len(c))
+            for name, v in zip(out, (np.full(len(p), i, np.int64), p.astype(np.int32), lo.astype(np.int32), hi.astype(np.int32), h[p].view(np.int64), one.spans(x, lo, hi - lo).view(np.int64), two.spans(y, lo, hi - lo).view(np.int64)), strict=True):
+                out[name][0].append(v)
+        yield _table(out)
 
 
 def _windows(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
-    """Hashes of all windows of min_chars characters that hold one of the anchors at the places in column 2."""
-    hasher, size = Hasher(), min_chars // 2
+    """Two hashes of all windows of min_chars characters that hold one of the anchors at the places in column 2."""
+    one, two = (Hasher(b) for b in BASES)
+    size = min_chars // 2
     for b in batches:
+        out = {"doc_id": ([], np.int64), "at": ([], np.int32), "c": ([], np.int64), "e": ([], np.int64)}
         for i, t, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            c = _codes(t)
-            n = len(c) - min_chars + 1
+            codes = _codes(t)
+            n = len(codes) - min_chars + 1
             edge = np.zeros(n + 1, np.int32)
             p = np.asarray(places)
             np.add.at(edge, np.clip(p + size - min_chars, 0, n), 1)
             np.add.at(edge, np.clip(p + 1, 0, n), -1)
             s = np.nonzero(np.cumsum(edge[:-1]) > 0)[0]
-            h = hasher.spans(hasher.prefix(c), s, min_chars)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i, np.int64)), pa.array(s.astype(np.int32)), pa.array(h.view(np.int64))], names=["doc_id", "at", "h"])
+            for name, v in zip(out, (np.full(len(s), i, np.int64), s.astype(np.int32), one.spans(one.prefix(codes), s, min_chars).view(np.int64), two.spans(two.prefix(codes), s, min_chars).view(np.int64)), strict=True):
+                out[name][0].append(v)
+        yield _table(out)
 
 
-SPANS = "doc_id long, at int, h long"
+SENTENCE = re.compile(r"[^.!?\u3002\n]*[.!?\u3002\n]*\s*")
 
 
-def _shared(spans: DataFrame) -> DataFrame:
-    """The spans whose hash stands in more than one document.
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the sentences (with the blanks behind them) that lie in the union of spans."""
+    n = len(text)
+    edge = np.zeros(n + 1, np.int64)
+    for lo, hi in spans:
+        edge[lo] += 1
+        edge[hi] -= 1
+    free = np.concatenate([[0], np.cumsum(np.cumsum(edge[:n]) == 0)])
+    left = []
+    for m in SENTENCE.finditer(text):
+        said = m.start() + max(len(m.group().rstrip()), min(len(m.group()), 1))
+        if free[said] > free[m.start()]:
+            left.append(m.group())
+    return "".join(left)
 
-    Hashes are reduced to a first and a last document before the shuffle.
-    """
-    twice = spans.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a <> b").select("h")
-    return spans.join(twice, "h")
 
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts = b.column("text").to_pylist()
+        left = [t if not s else without(t, [(x["lo"], x["hi"]) for x in s]) for t, s in zip(texts, b.column("repeats").to_pylist(), strict=True)]
+        removed = np.array([len(t or "") - len(x or "") for t, x in zip(texts, left, strict=True)], np.int64)
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(left, pa.string()), pa.array(removed)], names=["doc_id", "text", "removed_chars"])
 
-def shared_spans(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, shared_chars): documents with a run of min_chars characters or more that stands in another document too.
 
-    shared_chars counts the characters (code points) that lie in any such run, each once.
+class SharedSpans:
+    """What documents (doc_id, text) share with others in runs of min_chars characters (code points) or more.
+
     Null, empty and shorter texts share nothing; a text repeated within one document only
     is not shared. Rows with one doc_id count as one document each text; rows with a null
-    doc_id are left out. Other columns are ignored.
+    doc_id share nothing. Other columns are ignored.
     """
-    if min_chars < 2:
-        raise ValueError("min_chars must be 2 or more")
-    d = docs.filter(F.col("doc_id").isNotNull() & (F.length("text") >= min_chars)).select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("m", F.md5("text"))
-    # Copies: the text is shared as a whole, and one document stands for all.
-    groups = d.groupBy("m").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.max(F.length("text")).alias("n"))
-    copies = stored(groups.filter("rep <> last").select("m", "rep", "n"))
-    whole = d.select("doc_id", "m").join(copies, "m").select("doc_id", F.col("n").cast("long").alias("shared_chars")).distinct()
-    reps = d.join(copies.select("m", "rep"), "m", "left").filter("rep is null or rep = doc_id").select("doc_id", "text", F.col("rep").isNotNull().alias("copied"))
-    anchors = stored(reps.select("doc_id", "text").mapInArrow(partial(_anchors, min_chars=min_chars), SPANS))
-    places = _shared(anchors).groupBy("doc_id").agg(F.collect_list("at").alias("places"))
-    near = reps.join(places, "doc_id").select("doc_id", "text", "places")
-    windows = stored(near.mapInArrow(partial(_windows, min_chars=min_chars), SPANS))
-    hits = _shared(windows).groupBy("doc_id").agg(F.array_sort(F.collect_set("at")).alias("at"))
-    # Each window adds what lies behind the one before it.
-    steps = F.transform("at", lambda x, i: F.when(i == 0, min_chars).otherwise(F.least(F.lit(min_chars), x - F.get("at", i - 1))))
-    parts = hits.select("doc_id", F.aggregate(steps, F.lit(0).cast("long"), lambda s, x: s + x).alias("shared_chars"))
-    rest = parts.join(whole.select("doc_id"), "doc_id", "left_anti")
-    return whole.unionByName(rest)
+
+    def __init__(self, docs: DataFrame, min_chars: int = MIN_CHARS) -> None:
+        if min_chars < 2:
+            raise ValueError("min_chars must be 2 or more")
+        self.docs, self.min_chars = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), min_chars
+        d = self.docs.filter(F.col("doc_id").isNotNull() & (F.length("text") >= min_chars)).withColumn("m", F.md5("text"))
+        # Copies: the text is shared as a whole, and one document stands for all.
+        groups = d.groupBy("m").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.max(F.length("text")).alias("n"))
+        self.copies = stored(groups.filter("rep <> last").select("m", "rep", "n"))
+        self.whole = d.select("doc_id", "m").join(self.copies, "m").select("doc_id", "m", "rep", F.col("n").cast("long").alias("n")).distinct()
+        self._reps = d.join(self.copies.select("m", "rep"), "m", "left").filter("rep is null or rep = doc_id").select("doc_id", "text")
+        self._found: DataFrame | None = None
+
+    def intervals(self) -> DataFrame:
+        """(doc_id, lo, hi, repeated): intervals that stand in another document too, of one document for each text; repeated if the other comes before."""
+        if self._found is None:
+            n = self.min_chars
+            anchors = stored(self._reps.mapInArrow(partial(_anchors, min_chars=n), "doc_id long, at int, lo int, hi int, h long, c long, e long"))
+            # Hashes are reduced to a first and a last document before the shuffle.
+            twice = anchors.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a <> b").select("h")
+            near = stored(anchors.join(twice, "h"))
+            contexts = near.groupBy("h", "c", "e").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"))
+            kinds = contexts.groupBy("h").agg(F.count("*").alias("kinds"))
+            contexts = stored(contexts.join(kinds, "h").select("h", "c", "e", "first", (F.col("first.doc_id") != F.col("last")).alias("several"), (F.col("kinds") > 1).alias("differ")).filter("several or differ"))
+            first = F.struct("doc_id", "at") == F.col("first")
+            met = stored(near.join(contexts, ["h", "c", "e"]).select("doc_id", "at", "lo", "hi", "several", (F.col("doc_id") != F.col("first.doc_id")).alias("repeated"), (F.col("differ") & (~F.col("several") | first)).alias("alone")))
+            inside = met.filter(F.col("several") & (F.col("hi") - F.col("lo") >= n)).select("doc_id", "lo", "hi", "repeated")
+            # One document for each context is compared with the other contexts of the anchor.
+            alone = met.filter("alone").select("doc_id", "at")
+            places = alone.groupBy("doc_id").agg(F.collect_set("at").alias("places"))
+            windows = stored(self._reps.join(places, "doc_id").mapInArrow(partial(_windows, min_chars=n), "doc_id long, at int, c long, e long"))
+            again = windows.groupBy("c", "e").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a <> b").select("c", "e", "a")
+            ends = windows.join(again, ["c", "e"]).select("doc_id", F.col("at").alias("lo"), (F.col("at") + n).alias("hi"), (F.col("doc_id") != F.col("a")).alias("repeated"))
+            self._found = inside.unionByName(ends)
+        return self._found
+
+    def shared(self) -> DataFrame:
+        """(doc_id, shared_chars): the documents that share something, with how many of their characters lie in it, each counted once."""
+        hits = self.intervals().groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("at"))
+        # Each interval adds what lies behind all those before it.
+        start = F.struct(F.lit(0).alias("to"), F.lit(0).cast("long").alias("n"))
+        total = F.aggregate("at", start, lambda s, x: F.struct(F.greatest(s["to"], x["hi"]).alias("to"), (s["n"] + F.greatest(F.lit(0), x["hi"] - F.greatest(s["to"], x["lo"]))).alias("n")), lambda s: s["n"])
+        whole = self.whole.select("doc_id", F.col("n").alias("shared_chars"))
+        return whole.unionByName(hits.select("doc_id", total.alias("shared_chars")).join(whole.select("doc_id"), "doc_id", "left_anti"))
+
+    def kept(self) -> DataFrame:
+        """(doc_id, text, removed_chars) of every row of docs: the text without the sentences that lie in repeats; copies of an earlier document lose all."""
+        repeats = self.intervals().filter("repeated").groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("repeats"))
+        again = self.whole.filter("doc_id <> rep").select("doc_id", "m", F.array(F.struct(F.lit(0).alias("lo"), F.col("n").cast("int").alias("hi"))).alias("all"))
+        d = self.docs.withColumn("m", F.md5("text")).join(again, ["doc_id", "m"], "left").join(repeats, "doc_id", "left")
+        spans = F.when(F.length("text") >= self.min_chars, F.coalesce("all", "repeats"))
+        return d.select("doc_id", "text", spans.alias("repeats")).mapInArrow(_kept, "doc_id long, text string, removed_chars long")
+
+
+def shared_spans(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """SharedSpans(...).shared()"""
+    return SharedSpans(docs, min_chars).shared()

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from tallyforge.llm.spans import shared_spans
+from tallyforge.llm.spans import SENTENCE, SharedSpans, shared_spans, without
 
 S = "doc_id long, text string, at int, h string"
 
@@ -66,3 +66,41 @@ def test_a_third_of_all_records_share_one_passage(spark, make):
     d = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("head "), F.col("id").cast("string"), F.lit(" " + passage))).otherwise(F.sha2(F.col("id").cast("string"), 512)).alias("text"))
     got = shared_spans(d, 200)
     assert got.count() == 1000
+
+
+def test_one_context_at_two_places_of_a_document(make):
+    r = random.Random(5)
+    part = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    u, p, v = part(300), part(230), part(300)
+    check(make, [(1, u + p + v + u + p + v), (2, part(300) + p + part(300)), (3, part(900))], 200)
+
+
+def brute_kept(docs, least):
+    """Texts without the sentences whose every character lies in a window that also stands in a document before."""
+    first = {}
+    for i, t in sorted(docs, key=lambda d: d[0]):
+        for k in range(len(t or "") - least + 1):
+            first.setdefault(t[k : k + least], i)
+    out = {}
+    for i, t in docs:
+        gone = {x for k in range(len(t or "") - least + 1) if first[t[k : k + least]] < i for x in range(k, k + least)}
+        parts = [m for m in SENTENCE.finditer(t or "") if m.group()]
+        out[i] = None if t is None else "".join(m.group() for m in parts if not {*range(m.start(), m.start() + max(1, len(m.group().rstrip())))} <= gone)
+    return out
+
+
+def test_repeats_are_removed_against_brute_force(make):
+    r = random.Random(7)
+    sentence = lambda: "".join(r.choice("abcde f") for _ in range(r.randint(5, 60))) + r.choice([". ", "! ", "\n", "。", " "])
+    passages = ["".join(sentence() for _ in range(r.randint(2, 6))) for _ in range(6)]
+    docs = [(i, "".join(r.choice(passages) if r.random() < 0.5 else sentence() for _ in range(r.randint(0, 7)))) for i in range(30)]
+    docs += [(50, docs[4][1]), (51, docs[4][1]), (52, None), (53, ""), (54, " " + passages[0]), (55, "x")]
+    rows = SharedSpans(make(S, *[(i, t, 0, "") for i, t in docs]), 40).kept().collect()
+    assert {x.doc_id: x.text for x in rows} == brute_kept(docs, 40) and len(rows) == len(docs)
+    text = dict(docs)
+    assert all(x.removed_chars == len(text[x.doc_id] or "") - len(x.text or "") for x in rows) and sum(x.removed_chars for x in rows) > 500
+
+
+def test_without():
+    assert without(" Aa. Bb!  Cc", [(1, 4)]) == " Aa. Bb!  Cc"  # the blank before belongs to the sentence
+    assert without("Aa. Bb!  Cc", [(0, 3)]) == "Bb!  Cc" and without("Aa. Bb!  Cc", [(4, 7), (9, 11)]) == "Aa. " and without("", []) == ""
