@@ -96,56 +96,96 @@ def _slide(x: np.ndarray, w: int, op) -> np.ndarray:
     return x
 
 
-def winnow(h: np.ndarray, w: int) -> np.ndarray:
-    """Places that hold the least hash of some window of w places."""
-    if not len(h):
-        return np.zeros(0, np.int64)
-    w = min(w, len(h))
-    least = _slide(h, w, np.minimum)
+#: Characters that are hashed at once, so that short texts cost no call each and memory stays bounded; a longer text goes by itself.
+AT_ONCE = 1 << 19
+
+
+class Texts:
+    """Some texts put together, with the place where each begins."""
+
+    def __init__(self, rows: list[tuple], texts: list[str]) -> None:
+        self.rows = rows
+        self.codes = _codes("".join(texts))
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.of = np.repeat(np.arange(len(texts)), self.sizes)
+
+    @staticmethod
+    def batches(b: pa.RecordBatch) -> Iterator[Texts]:
+        """Texts of column 1 and rows of the other columns, in portions."""
+        columns = [c.to_pylist() for c in b.columns]
+        rows, texts, n = [], [], 0
+        for row in zip(*columns, strict=True):
+            rows.append((row[0], *row[2:]))
+            texts.append(row[1])
+            n += len(row[1])
+            if n >= AT_ONCE:
+                yield Texts(rows, texts)
+                rows, texts, n = [], [], 0
+        if rows:
+            yield Texts(rows, texts)
+
+    def within(self, starts: np.ndarray, size: int) -> np.ndarray:
+        """Whether spans of a size end in the text in which they start."""
+        own = self.of[starts]
+        return starts + size <= self.begins[own] + self.sizes[own]
+
+
+def winnow(h: np.ndarray, w: int, whole: np.ndarray) -> np.ndarray:
+    """Places that hold the least hash of some window of w places; whole tells by its start whether a window counts."""
+    least = np.where(whole, _slide(h, w, np.minimum), np.uint64(0))
     pad = np.zeros(w - 1, np.uint64)
     return np.nonzero(_slide(np.concatenate([pad, least, pad]), w, np.maximum) == h)[0]
 
 
-def _table(columns: dict[str, tuple[list[np.ndarray], type]]) -> pa.RecordBatch:
-    """A batch of columns that come in pieces."""
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, k)) for x, k in columns.values()], names=list(columns))
+ANCHOR = "doc_id long, at int, lo int, hi int, h long, c long, e long, l long, r long"
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
-    """The anchors of each text with their contexts: where they begin and end, and two hashes."""
+    """The anchors of each text (of min_chars characters or more) with their contexts: where they begin and end, two hashes, and a hash of the anchor with half of what is left and right of it."""
     one, two = (Hasher(b) for b in BASES)
     size = min_chars // 2
     around = min_chars - size
-    for b in batches:
-        out = {"doc_id": ([], np.int64), "at": ([], np.int32), "lo": ([], np.int32), "hi": ([], np.int32), "h": ([], np.int64), "c": ([], np.int64), "e": ([], np.int64)}
-        for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            c = _codes(t)
-            x, y = one.prefix(c), two.prefix(c)
-            h = one.spans(x, np.arange(len(c) - size + 1), size)
-            p = winnow(h, around + 1)
-            lo, hi = np.maximum(p - around, 0), np.minimum(p + size + around, len(c))
-            for name, v in zip(out, (np.full(len(p), i, np.int64), p.astype(np.int32), lo.astype(np.int32), hi.astype(np.int32), h[p].view(np.int64), one.spans(x, lo, hi - lo).view(np.int64), two.spans(y, lo, hi - lo).view(np.int64)), strict=True):
-                out[name][0].append(v)
-        yield _table(out)
+    half = around // 2
+    for t in (t for b in batches for t in Texts.batches(b)):
+        x, y, n = one.prefix(t.codes), two.prefix(t.codes), len(t.codes)
+        at = np.arange(n - size + 1)
+        inside = t.within(at, size)
+        h = np.where(inside, one.spans(x, at, size), np.uint64(2**64 - 1))
+        p = winnow(h, around + 1, t.within(at[: n - min_chars + 1], min_chars))
+        p = p[inside[p]]
+        own = t.of[p]
+        begin, end = t.begins[own], t.begins[own] + t.sizes[own]
+        lo, hi = np.maximum(p - around, begin), np.minimum(p + size + around, end)
+        left, right = p - half, p + size + around - half
+        cut_left, cut_right = left < begin, right > end
+        ids = np.array([r[0] for r in t.rows], np.int64)[own]
+        whole = lambda v: pa.array(v.view(np.int64))
+        columns = [
+            pa.array(ids), *[pa.array((v - begin).astype(np.int32)) for v in (p, lo, hi)], whole(h[p]), whole(one.spans(x, lo, hi - lo)), whole(two.spans(y, lo, hi - lo)),
+            pa.array(one.spans(x, np.where(cut_left, p, left), np.where(cut_left, size, size + half)).view(np.int64), mask=cut_left),
+            pa.array(one.spans(x, p, np.where(cut_right, size, right - p)).view(np.int64), mask=cut_right),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "at", "lo", "hi", "h", "c", "e", "l", "r"])
+
+
+WINDOW = "doc_id long, last long, at int, c long, e long"
 
 
 def _windows(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
-    """Two hashes of all windows of min_chars characters that hold one of the anchors at the places in column 2."""
+    """Two hashes of the windows of min_chars characters that start near anchors: column 2 has (at, least, most, last), the window starting least to most characters before the anchor."""
     one, two = (Hasher(b) for b in BASES)
-    size = min_chars // 2
-    for b in batches:
-        out = {"doc_id": ([], np.int64), "at": ([], np.int32), "c": ([], np.int64), "e": ([], np.int64)}
-        for i, t, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            codes = _codes(t)
-            n = len(codes) - min_chars + 1
-            edge = np.zeros(n + 1, np.int32)
-            p = np.asarray(places)
-            np.add.at(edge, np.clip(p + size - min_chars, 0, n), 1)
-            np.add.at(edge, np.clip(p + 1, 0, n), -1)
-            s = np.nonzero(np.cumsum(edge[:-1]) > 0)[0]
-            for name, v in zip(out, (np.full(len(s), i, np.int64), s.astype(np.int32), one.spans(one.prefix(codes), s, min_chars).view(np.int64), two.spans(two.prefix(codes), s, min_chars).view(np.int64)), strict=True):
-                out[name][0].append(v)
-        yield _table(out)
+    for t in (t for b in batches for t in Texts.batches(b)):
+        last = np.full(len(t.codes), np.iinfo(np.int64).min)
+        for (_, places), begin, n in zip(t.rows, t.begins.tolist(), t.sizes.tolist(), strict=True):
+            for x in places:
+                s = slice(begin + max(0, x["at"] - x["most"]), begin + max(0, min(x["at"] - x["least"], n - min_chars) + 1))
+                last[s] = np.maximum(last[s], x["last"])
+        s = np.nonzero(last > np.iinfo(np.int64).min)[0]
+        own = t.of[s]
+        ids = np.array([r[0] for r in t.rows], np.int64)[own]
+        hashes = [pa.array(k.spans(k.prefix(t.codes), s, min_chars).view(np.int64)) for k in (one, two)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(last[s]), pa.array((s - t.begins[own]).astype(np.int32)), *hashes], names=["doc_id", "last", "at", "c", "e"])
 
 
 SENTENCE = re.compile(r"[^.!?\u3002\n]*[.!?\u3002\n]*\s*")
@@ -199,21 +239,28 @@ class SharedSpans:
         """(doc_id, lo, hi, repeated): intervals that stand in another document too, of one document for each text; repeated if the other comes before."""
         if self._found is None:
             n = self.min_chars
-            anchors = stored(self._reps.mapInArrow(partial(_anchors, min_chars=n), "doc_id long, at int, lo int, hi int, h long, c long, e long"))
+            anchors = stored(self._reps.mapInArrow(partial(_anchors, min_chars=n), ANCHOR))
             # Hashes are reduced to a first and a last document before the shuffle.
             twice = anchors.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a <> b").select("h")
             near = stored(anchors.join(twice, "h"))
             contexts = near.groupBy("h", "c", "e").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"))
             kinds = contexts.groupBy("h").agg(F.count("*").alias("kinds"))
-            contexts = stored(contexts.join(kinds, "h").select("h", "c", "e", "first", (F.col("first.doc_id") != F.col("last")).alias("several"), (F.col("kinds") > 1).alias("differ")).filter("several or differ"))
+            contexts = contexts.join(kinds, "h").select("h", "c", "e", "first", "last", (F.col("first.doc_id") != F.col("last")).alias("several"), (F.col("kinds") > 1).alias("differ")).filter("several or differ")
             first = F.struct("doc_id", "at") == F.col("first")
-            met = stored(near.join(contexts, ["h", "c", "e"]).select("doc_id", "at", "lo", "hi", "several", (F.col("doc_id") != F.col("first.doc_id")).alias("repeated"), (F.col("differ") & (~F.col("several") | first)).alias("alone")))
+            met = stored(near.join(contexts, ["h", "c", "e"]).select(
+                "doc_id", "at", "lo", "hi", "l", "r", "last", "several", (F.col("doc_id") != F.col("first.doc_id")).alias("repeated"), (F.col("differ") & (~F.col("several") | first)).alias("alone")
+            ))
             inside = met.filter(F.col("several") & (F.col("hi") - F.col("lo") >= n)).select("doc_id", "lo", "hi", "repeated")
-            # One document for each context is compared with the other contexts of the anchor.
-            alone = met.filter("alone").select("doc_id", "at")
-            places = alone.groupBy("doc_id").agg(F.collect_set("at").alias("places"))
-            windows = stored(self._reps.join(places, "doc_id").mapInArrow(partial(_windows, min_chars=n), "doc_id long, at int, c long, e long"))
-            again = windows.groupBy("c", "e").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a <> b").select("c", "e", "a")
+            # One document for each context is compared with the other contexts of the anchor. A window that both have
+            # reaches half of what is left of the anchor or half of what is right of it.
+            alone = met.filter("alone").select("doc_id", "at", "last", "l", "r")
+            around = n - n // 2
+            ways = F.array(F.struct(F.lit("l").alias("side"), F.col("l").alias("x"), F.lit(around // 2).alias("least"), F.lit(around).alias("most")), F.struct(F.lit("r").alias("side"), F.col("r").alias("x"), F.lit(0).alias("least"), F.lit(around // 2 - 1).alias("most")))
+            sides = stored(alone.select("doc_id", "at", "last", F.explode(ways).alias("w")).select("doc_id", "at", "last", "w.*").filter("x is not null and least <= most"))
+            reached = sides.groupBy("side", "x").agg(F.min("doc_id").alias("a"), F.max("last").alias("b")).filter("a <> b").select("side", "x")
+            places = sides.join(reached, ["side", "x"]).groupBy("doc_id").agg(F.collect_list(F.struct("at", "least", "most", "last")).alias("places"))
+            windows = stored(self._reps.join(places, "doc_id").mapInArrow(partial(_windows, min_chars=n), WINDOW))
+            again = windows.groupBy("c", "e").agg(F.min("doc_id").alias("a"), F.max("last").alias("b")).filter("a <> b").select("c", "e", "a")
             ends = windows.join(again, ["c", "e"]).select("doc_id", F.col("at").alias("lo"), (F.col("at") + n).alias("hi"), (F.col("doc_id") != F.col("a")).alias("repeated"))
             self._found = inside.unionByName(ends)
         return self._found

@@ -75,6 +75,21 @@ def test_one_context_at_two_places_of_a_document(make):
     check(make, [(1, u + p + v + u + p + v), (2, part(300) + p + part(300)), (3, part(900))], 200)
 
 
+def test_a_document_with_two_contexts_of_one_anchor(make):
+    """The only other document with the windows of the one context shares the other context whole."""
+    r = random.Random(6)
+    part = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    p, u, v = part(260), part(300), part(300)
+    check(make, [(1, part(300) + p[:230] + part(300) + u + p + v), (2, part(250) + u + p + v + part(250)), (3, part(700))], 200)
+    check(make, [(5, part(300) + p[:230] + part(300) + u + p + v), (2, part(250) + u + p + v + part(250)), (3, p[10:215])], 200)
+
+
+@pytest.mark.parametrize("least", [2, 3, 7])
+def test_short_runs(make, least):
+    r = random.Random(least)
+    check(make, [(i, "".join(r.choice("ab漢🙂") for _ in range(r.randint(0, 30)))) for i in range(12)], least)
+
+
 def brute_kept(docs, least):
     """Texts without the sentences whose every character lies in a window that also stands in a document before."""
     first = {}
