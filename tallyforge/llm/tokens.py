@@ -5,13 +5,17 @@ pre-tokenised by itself, in parallel. The first position in the overlap that is
 pre-token boundary in both chunks is a boundary of the whole text, and from there on
 the second chunk's boundaries are the text's own, as a pre-token depends on what
 follows it only. Pieces between such positions are encoded and their ids put together.
-A text in which an overlap holds no common boundary (one endless word) is encoded in
-one piece, so the ids are always those of the whole text.
+Where an overlap holds no common boundary (an endless word), the pieces on both sides are
+put together before they are encoded, so the ids are always those of the whole text.
+
+A chunk comes with the one before it and finds its two ends by itself, so no task looks
+at a whole text again once it is cut, and the work grows in proportion to the text.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -21,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.session import stored
+
 #: Folder of the public vocabulary files; every function takes it as a parameter.
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 TOKENIZER = "byte_bpe_50k"
@@ -77,16 +83,36 @@ def _boundaries(text: str) -> list[int]:
     return out
 
 
-def _edges(batches: Iterator[pa.RecordBatch], chunk: int, overlap: int) -> Iterator[pa.RecordBatch]:
-    """Boundaries in each chunk's first and last overlap, as positions of the whole text."""
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int, overlap: int) -> Iterator[pa.RecordBatch]:
+    """The chunks of each text, each with the one before it and the overlap behind it; last marks a text's last one."""
+    for b in batches:
+        for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            h, n = hashlib.md5(t.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest(), -(-len(t) // chunk)
+            for at in range(0, n, 256):
+                ks = range(at, min(at + 256, n))
+                texts = [t[max(0, k - 1) * chunk : (k + 1) * chunk + overlap] for k in ks]
+                cols = [pa.array([i] * len(ks), pa.int64()), pa.array([h] * len(ks), pa.binary()), pa.array(ks, pa.int64()), pa.array([k == n - 1 for k in ks]), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "h", "k", "last", "text"])
+
+
+def _joint(before: str, chunk: int, overlap: int) -> int | None:
+    """Where two chunks meet, counted from the second one's start; before is the first chunk with the overlap behind it. None without a common boundary."""
+    tail = {x - chunk for x in _boundaries(before) if x >= chunk}
+    return min(tail & {*_boundaries(before[chunk : chunk + overlap])}, default=None)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], chunk: int, overlap: int) -> Iterator[pa.RecordBatch]:
+    """The piece of text of each chunk; joined if it goes on with the piece before it, open if the next one goes on with it."""
     for b in batches:
-        head, tail = [], []
-        for k, t in zip(b.column("k").to_pylist(), b.column("chunk").to_pylist(), strict=True):
-            at = _boundaries(t)
-            head.append([k * chunk + x for x in at if x <= overlap])
-            tail.append([k * chunk + x for x in at if x >= chunk])
-        cols = [pa.array(x, pa.list_(pa.int64())) for x in (head, tail)]
-        yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, "head", "tail"])
+        texts, joined, opened = [], [], []
+        for k, last, t in zip(b.column("k").to_pylist(), b.column("last").to_pylist(), b.column("text").to_pylist(), strict=True):
+            own = chunk if k else 0
+            start = _joint(t[: own + overlap], chunk, overlap) if k else 0
+            end = None if last else _joint(t[own:], chunk, overlap)
+            texts.append(t[own + (start or 0) :] if last else t[own + (start or 0) : own + chunk + (end or 0)])
+            joined.append(start is None)
+            opened.append(not last and end is None)
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "h", "k")), pa.array(joined), pa.array(opened), pa.array(texts, pa.string())], names=["doc_id", "h", "k", "joined", "open", "text"])
 
 
 def _encoded(df: DataFrame, keys: str, name: str, folder: str, count: bool = False) -> DataFrame:
@@ -94,27 +120,18 @@ def _encoded(df: DataFrame, keys: str, name: str, folder: str, count: bool = Fal
 
 
 def corpus_pieces(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """(doc_id, copies, k, text): the texts longer than chunk, in pieces that can be encoded each by itself."""
+    """(doc_id, h, k, n, text): the texts longer than chunk, in pieces that can be encoded each by itself, n times the same."""
     if overlap >= chunk:
         raise ValueError("the overlap must be shorter than a chunk")
-    n = F.length("text")
-    long = docs.filter(n > chunk).groupBy("doc_id", "text").agg(F.count("*").alias("copies")).withColumn("h", F.xxhash64("text"))
-    last = F.ceil(n / chunk).cast("int") - 1
-    chunks = long.select("doc_id", "copies", "h", n.cast("long").alias("n"), "text", F.explode(F.sequence(F.lit(0), last)).alias("k"))
-    chunks = chunks.select("doc_id", "copies", "h", "n", F.col("k").cast("long").alias("k"), F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + overlap)).alias("chunk"))
-    edges = chunks.mapInArrow(
-        partial(_edges, chunk=chunk, overlap=overlap), "doc_id long, copies long, h long, n long, k long, chunk string, head array<bigint>, tail array<bigint>"
-    )
-    doc = Window.partitionBy("doc_id", "h")
-    w = doc.orderBy("k")
-    cut = edges.withColumn("at", F.when(F.col("k") == 0, F.lit(0)).otherwise(F.array_min(F.array_intersect(F.lag("tail").over(w), "head")))).drop("head", "tail")
-    cut = cut.withColumns({"to": F.coalesce(F.lead("at").over(w), F.col("n")), "whole": F.max(F.col("at").isNull()).over(doc)})
-    pieces = cut.filter("not whole").select(
-        "doc_id", "h", "copies", "k", F.substring("chunk", (F.col("at") - F.col("k") * chunk + 1).cast("int"), (F.col("to") - F.col("at")).cast("int")).alias("text")
-    )
-    parts = F.array_sort(F.collect_list(F.struct("k", F.substring("chunk", 1, chunk).alias("t"))))
-    whole = cut.filter("whole").groupBy("doc_id", "h", "copies").agg(F.array_join(F.transform(parts, lambda x: x["t"]), "").alias("text"))
-    return pieces.unionByName(whole.select("doc_id", "h", "copies", F.lit(0).cast("long").alias("k"), "text"))
+    cut = docs.filter(F.length("text") > chunk).mapInArrow(partial(_chunks, chunk=chunk, overlap=overlap), "doc_id long, h binary, k long, last boolean, text string")
+    # The chunks of one text go to all tasks.
+    pieces = cut.repartition("doc_id", "h", "k").mapInArrow(partial(_pieces, chunk=chunk, overlap=overlap), "doc_id long, h binary, k long, joined boolean, open boolean, text string")
+    pieces = stored(pieces)
+    single = pieces.filter("not joined and not open").groupBy("doc_id", "h", "k").agg(F.count("*").alias("n"), F.first("text").alias("text"))
+    several = pieces.filter("joined or open").withColumn("from", F.max(F.when(~F.col("joined"), F.col("k"))).over(Window.partitionBy("doc_id", "h").orderBy("k")))
+    parts = F.array_sort(F.collect_set(F.struct("k", "text")))
+    several = several.groupBy("doc_id", "h", "from").agg(F.count_if(F.col("k") == F.col("from")).alias("n"), F.array_join(F.transform(parts, lambda x: x["text"]), "").alias("text"))
+    return single.unionByName(several.withColumnRenamed("from", "k"))
 
 
 def encode_corpus(docs: DataFrame, name: str = TOKENIZER, folder: str = TOKENIZER_DIR, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP) -> DataFrame:
@@ -126,10 +143,10 @@ def encode_corpus(docs: DataFrame, name: str = TOKENIZER, folder: str = TOKENIZE
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     short = _encoded(docs.filter((F.length("text") <= chunk) | F.col("text").isNull()), "doc_id long", name, folder)
-    pieces = _encoded(corpus_pieces(docs, chunk, overlap), "doc_id long, h long, copies long, k long", name, folder)
-    whole = pieces.groupBy("doc_id", "h", "copies").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("p"))
+    pieces = _encoded(corpus_pieces(docs, chunk, overlap), "doc_id long, h binary, k long, n long", name, folder)
+    whole = pieces.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("p"), F.max(F.when(F.col("k") == 0, F.col("n"))).cast("int").alias("n"))
     ids = F.flatten(F.transform("p", lambda x: x["ids"]))
-    whole = whole.select("doc_id", F.explode(F.array_repeat(ids, F.col("copies").cast("int"))).alias("ids"))
+    whole = whole.select("doc_id", F.explode(F.array_repeat(ids, F.col("n"))).alias("ids"))
     return short.unionByName(whole)
 
 

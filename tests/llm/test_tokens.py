@@ -15,7 +15,7 @@ def plain(texts):
 
 TEXTS = [
     "", None, " ", "Hello,  world! it's 12345 'll\n\n  x", "<|endoftext|>", "가나다 라마바 " * 40, "a" * 700, "word " * 300, " " * 500, "x\r\n" * 200, "don't " * 120 + "\U0001f642" * 40,
-    "0" * 333 + " tail", "…" * 260, "mixed 日本語 text, with ünïcödé; " * 30,
+    "word " * 90 + "b" * 333 + " more words" * 40 + "c" * 200 + " end" * 60, "0" * 333 + " tail", "…" * 260, "mixed 日本語 text, with ünïcödé; " * 30,
 ]
 
 
@@ -45,3 +45,18 @@ def test_whole_test_table(spark):
     text = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
     got = {r.doc_id: list(r.ids) for r in tokens.encode_corpus(docs, chunk=256, overlap=64).collect()}
     assert got == dict(zip(text, plain([t or "" for t in text.values()]), strict=True))
+
+
+def test_time_grows_in_proportion(make):
+    """A text sixteen times as long takes no more than about as many times as long; both are encoded by chunks."""
+    import time
+
+    def seconds(n):
+        df = tokens.encode_corpus(make("doc_id long, text string", (1, "some words of a text, " * n)))
+        began = time.time()
+        size = len(df.first().ids)
+        assert size > 5 * n
+        return time.time() - began
+
+    seconds(1_000)
+    assert seconds(320_000) < 24 * max(1.0, seconds(20_000))
