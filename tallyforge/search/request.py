@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.predicates import all_of, any_of, has_word, in_list, mentions, remote_or_place
@@ -124,6 +126,17 @@ def search(df: DataFrame, r: SearchRequest) -> DataFrame:
     return keep(ranked) if r.legacy_limit else ranked
 
 
+def availability(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]], least_rows: int = 1) -> DataFrame:
+    """(name, there, n_rows, usable) of the tables that a search needs; one that can't be read isn't there."""
+    parts = []
+    for name, build in tables.items():
+        try:
+            parts.append(build().agg(F.lit(name).alias("name"), F.lit(True).alias("there"), F.count("*").alias("n_rows")))
+        except AnalysisException:
+            parts.append(spark.range(1).select(F.lit(name).alias("name"), F.lit(False).alias("there"), F.lit(0).cast("long").alias("n_rows")))
+    return reduce(DataFrame.unionByName, parts).withColumn("usable", F.col("there") & (F.col("n_rows") >= least_rows))
+
+
 def resolve_keywords(known: DataFrame, include: Sequence[str], exclude: Sequence[str]) -> DataFrame:
     """Known keywords (column keyword) that are included and not excluded, whatever their case."""
     k = known.select("keyword").distinct()

@@ -52,6 +52,13 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def _cleared_at_end(folder: str) -> None:
+    if folder not in _folders:
+        _folders.add(folder)
+        if folder.startswith(("/", "file:/")):
+            atexit.register(shutil.rmtree, "/" + folder.removeprefix("file:").lstrip("/"), ignore_errors=True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder as a Parquet table and goes on from there: lineage is cut, executors may be lost, later reads prune columns and know sizes.
 
@@ -60,16 +67,18 @@ def stored(df: DataFrame) -> DataFrame:
     folder does that.
     """
     spark = df.sparkSession
-    folder = f"{shared_dir(spark)}/tallyforge-{spark.sparkContext.applicationId}"
-    if folder not in _folders:
-        _folders.add(folder)
-        if folder.startswith(("/", "file:/")):
-            atexit.register(shutil.rmtree, "/" + folder.removeprefix("file:").lstrip("/"), ignore_errors=True)
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the shared folder, for tables that a job writes and reads again."""
+    folder = f"{shared_dir(spark)}/tallyforge-{spark.sparkContext.applicationId}"
+    _cleared_at_end(folder)
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
 def small_or_shuffled(df: DataFrame, max_rows: int) -> DataFrame:
     """df marked for broadcast if it holds at most max_rows rows, unmarked (a shuffled join) otherwise.
 

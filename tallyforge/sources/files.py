@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import re
+import time
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -55,6 +58,63 @@ def active_with_company(raw: DataFrame, companies: DataFrame, key: str = "compan
     return raw.filter("is_active").join(companies.select(key, "company_name"), key, "left")
 
 
+def statements(text: str, variables: Mapping[str, str] | None = None) -> list[str]:
+    """The statements of a SQL text: ${NAME} replaced by its variable, comments left out, cut at semicolons outside quotes.
+
+    A name without a variable raises, so that no half-filled statement runs.
+    """
+    filled = re.sub(r"\$\{(\w+)\}", lambda m: (variables or {})[m.group(1)], text)
+    parts = re.findall(r"'(?:[^']|'')*'|\"[^\"]*\"|--[^\n]*|/\*.*?\*/|;|[^'\";/-]+|.", filled, re.DOTALL)
+    out = [""]
+    for p in parts:
+        if p == ";":
+            out.append("")
+        elif not p.startswith(("--", "/*")):
+            out[-1] += p
+    return [x.strip() for x in out if x.strip()]
+
+
+def run_script(spark: SparkSession, text: str, variables: Mapping[str, str] | None = None) -> DataFrame | None:
+    """Runs the statements of a seed file in their order; the result of the last one."""
+    result = None
+    for s in statements(text, variables):
+        result = spark.sql(s)
+    return result
+
+
+def with_retries(fetch: Callable[[str], str], tries: int = 3, first_wait: float = 1.0, wait: Callable[[float], None] = time.sleep) -> Callable[[str], str]:
+    """fetch, tried again after a wait that doubles each time; the last failure is raised."""
+
+    def fetched(address: str) -> str:
+        for n in range(tries):
+            try:
+                return fetch(address)
+            except Exception:  # noqa: BLE001
+                if n == tries - 1:
+                    raise
+                wait(first_wait * 2**n)
+        raise ValueError("tries must be one or more")
+
+    return fetched
+
+
+def fetched(addresses: DataFrame, make_fetch: Callable[[], Callable[[str], str]]) -> DataFrame:
+    """(address, body, error) of each row's address: a fetcher is made once a task; an address that fails doesn't stop the others."""
+
+    def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        get = make_fetch()
+        for b in batches:
+            rows = []
+            for a in b.iloc[:, 0]:
+                try:
+                    rows.append((a, get(a), None))
+                except Exception as e:  # noqa: BLE001
+                    rows.append((a, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["address", "body", "error"])
+
+    return addresses.select("address").mapInPandas(pages, "address string, body string, error string")
+
+
 class Bodies(DataSourceReader):
     def __init__(self, folder: str) -> None:
         self.folder = folder

@@ -78,3 +78,22 @@ def url_verdict(asked: Column, reached: Column) -> Column:
     bad = (host(asked) == "") | (host(reached) == "") | asked.isNull() | reached.isNull()
     deep = F.size(F.split(host(asked), r"\.")) >= 2
     return F.when(bad, "invalid").when(deep & (root(asked) != root(reached)), "other_domain").when((path(asked) != "") & (path(reached) == ""), "generic").otherwise("same")
+
+
+ANSWERED = "array<struct<company_name:string,ats_url:string,career_url:string>>"
+
+
+def discovered_urls(companies: DataFrame, answer: str = "answer") -> DataFrame:
+    """companies (company_name, answer) with the addresses that the answer of a model gives for the company.
+
+    The answer holds a JSON list somewhere in prose. Where the list doesn't parse, because text
+    stands between its fields, the fields behind the company's own name are taken, up to the next
+    company's. A company that the answer doesn't name has no addresses.
+    """
+    listed = F.from_json(F.regexp_extract(F.col(answer), r"(?s)(\[.*\])", 1), ANSWERED)
+    mine = F.get(F.filter(listed, lambda x: F.trim(x["company_name"]) == F.trim("company_name")), F.lit(0))
+    # What stands between the company's name and the next one's.
+    parts = F.filter(F.split(F.col(answer), r'"company_name"\s*:\s*'), lambda p: F.startswith(p, F.concat(F.lit('"'), F.trim("company_name"), F.lit('"'))))
+    own = F.get(parts, F.lit(0))
+    field = lambda name: F.coalesce(mine[name], F.nullif(F.regexp_extract(own, rf'"{name}"\s*:\s*"(https?:[^"]+)"', 1), F.lit("")))
+    return companies.select("*", field("ats_url").alias("found_ats_url"), field("career_url").alias("found_career_url"))
