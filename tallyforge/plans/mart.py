@@ -6,6 +6,8 @@ same mart runs over any source. Doubles are rounded to four places at the end on
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,11 +81,15 @@ def skills_demand_weekly(postings: DataFrame, bridge: DataFrame, skills: DataFra
     return rounded(out)
 
 
-def company_hiring_weekly(postings: DataFrame) -> DataFrame:
-    """Hiring of each company and week: postings (posting_id, company_id, week, salary, work_type, seniority)."""
+def company_hiring_weekly(postings: DataFrame, levels: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Hiring of each company and week: postings (posting_id, company_id, week, salary, work_type, seniority).
+
+    levels names groups of seniorities, of each of which the share of the postings is told.
+    """
+    groups = {f"{name}_share": percent(F.count_if(F.col("seniority").isin(*s)), F.count("*")) for name, s in (levels or {}).items()}
     per = postings.groupBy("company_id", "week").agg(
         F.count("*").alias("jobs"), *salary_stats(), *[F.count_if(F.col("work_type") == w).alias(f"{w}_jobs") for w in ("remote", "hybrid", "onsite")],
-        F.count_distinct("seniority").alias("seniorities"),
+        F.count_distinct("seniority").alias("seniorities"), *[c.alias(name) for name, c in groups.items()],
     ).filter(F.col("jobs") >= LEAST_JOBS)
     w = Window.partitionBy("company_id").orderBy("week")
     before = F.lag("jobs").over(w)
@@ -113,6 +119,23 @@ def skills_trend(weekly: DataFrame) -> DataFrame:
     }))
 
 
+def skills_trend_by_form(weekly: DataFrame, forms: DataFrame, postings: DataFrame, bridge: DataFrame, levels: Mapping[str, Sequence[str]], least_confidence: float = 0.7) -> DataFrame:
+    """Four-row changes of the series of each canonical form: weekly (week, skill_id, jobs, avg_salary), forms (skill_id, form).
+
+    The postings of a form and week are also counted by group of seniority, each posting once:
+    postings (posting_id, week, seniority), bridge (posting_id, skill_id, confidence).
+    """
+    per = weekly.join(forms, "skill_id").groupBy("week", "form").agg(F.sum("jobs").alias("jobs"), exact_avg(F.col("avg_salary"), 4).alias("avg_salary"))
+    used = bridge.filter(F.col("confidence") >= least_confidence).join(forms, "skill_id").select("posting_id", "form").distinct()
+    by_level = used.join(postings.select("posting_id", "week", "seniority"), "posting_id").groupBy("week", "form").agg(*[F.count_if(F.col("seniority").isin(*s)).alias(f"{name}_jobs") for name, s in levels.items()])
+    per = per.join(by_level, ["week", "form"], "left").withColumn("rank", F.rank().over(Window.partitionBy("week").orderBy(F.desc("jobs"))))
+    w = Window.partitionBy("form").orderBy("week")
+    return rounded(per.withColumns({
+        "mom": change(F.col("jobs"), F.lag("jobs", 4).over(w)), "salary_mom": change(F.col("avg_salary"), F.lag("avg_salary", 4).over(w)),
+        "rank_change": F.lag("rank", 4).over(w) - F.col("rank"),
+    }))
+
+
 def company_intelligence(weekly: DataFrame, industries: DataFrame, legacy_semantics: bool = False) -> DataFrame:
     """The latest week of each company (company_id, week, jobs, avg_salary, remote_share) against its peers.
 
@@ -141,13 +164,19 @@ def company_intelligence(weekly: DataFrame, industries: DataFrame, legacy_semant
     ))
 
 
-def salary_intelligence(postings: DataFrame, least: int = LEAST_SALARIES) -> DataFrame:
-    """Monthly percentiles per seniority and country: postings (month, seniority, country, salary), with the month's change of the average."""
+def salary_intelligence(postings: DataFrame, least: int = LEAST_SALARIES, legacy_semantics: bool = False) -> DataFrame:
+    """Monthly percentiles per family, seniority, metro area and country: postings (month, these, work_type, salary), with the month's change of the average.
+
+    legacy_semantics compares with the row before of the same family, seniority and metro
+    area, whatever its country (then by country).
+    """
     p = lambda q: F.percentile("salary", q)
-    per = postings.filter("salary > 0").groupBy("month", "seniority", "country").agg(
-        F.count("*").alias("n"), exact_avg(F.col("salary")).alias("avg_salary"), F.median("salary").alias("median_salary"), p(0.25).alias("p25"), p(0.75).alias("p75"), p(0.9).alias("p90")
+    keys = ["family", "seniority", "metro", "country"]
+    per = postings.filter("salary > 0").groupBy("month", *keys).agg(
+        F.count("*").alias("n"), exact_avg(F.col("salary")).alias("avg_salary"), F.median("salary").alias("median_salary"), p(0.25).alias("p25"), p(0.75).alias("p75"), p(0.9).alias("p90"),
+        exact_avg(F.when(F.col("work_type") == "remote", F.col("salary"))).alias("avg_remote"), exact_avg(F.when(F.col("work_type") == "onsite", F.col("salary"))).alias("avg_onsite"),
     ).filter(F.col("n") >= least)
-    w = Window.partitionBy("seniority", "country").orderBy("month")
+    w = Window.partitionBy(*keys[:3]).orderBy("month", "country") if legacy_semantics else Window.partitionBy(*keys).orderBy("month")
     return rounded(per.withColumn("mom", change(F.col("avg_salary"), F.lag("avg_salary").over(w))))
 
 

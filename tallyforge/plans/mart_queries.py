@@ -61,14 +61,15 @@ def skills_demand_weekly(spark: SparkSession, d: str) -> DataFrame:
     return mart.skills_demand_weekly(_postings(spark, d), _bridge(spark, d), _skills(spark, d))
 
 
+LEVELS = {"senior": ("1-URGENT", "2-HIGH"), "junior": ("5-LOW",)}
 _COMPANY = f"""
-SELECT company_id, week, jobs, {_r('avg_salary', 'median_salary', 'min_salary', 'max_salary')}, remote_jobs, hybrid_jobs, onsite_jobs, seniorities,
+SELECT company_id, week, jobs, {_r('avg_salary', 'median_salary', 'min_salary', 'max_salary')}, remote_jobs, hybrid_jobs, onsite_jobs, seniorities, {_r('senior_share', 'junior_share')},
   round(remote_jobs * 100.0::DOUBLE / jobs, 4) AS remote_share, round((jobs - before) * 100.0::DOUBLE / before, 4) AS wow,
   round(avg_salary - lag(avg_salary) OVER (PARTITION BY company_id ORDER BY week), 4) AS salary_change,
   CASE WHEN before IS NULL THEN 'New' WHEN (jobs - before) * 100.0::DOUBLE / before > 20 THEN 'Accelerating' WHEN (jobs - before) * 100.0::DOUBLE / before > -10 THEN 'Stable' ELSE 'Declining' END AS trend
 FROM (SELECT *, lag(jobs) OVER (PARTITION BY company_id ORDER BY week) AS before FROM (
   SELECT company_id, week, count(*) AS jobs, {_STATS}, count(*) FILTER (work_type = 'remote') AS remote_jobs, count(*) FILTER (work_type = 'hybrid') AS hybrid_jobs,
-    count(*) FILTER (work_type = 'onsite') AS onsite_jobs, count(DISTINCT seniority) AS seniorities FROM {POSTINGS} GROUP BY ALL HAVING count(*) >= 2))"""
+    count(*) FILTER (work_type = 'onsite') AS onsite_jobs, count(DISTINCT seniority) AS seniorities, count(*) FILTER (seniority IN ('1-URGENT', '2-HIGH')) * 100.0::DOUBLE / count(*) AS senior_share, count(*) FILTER (seniority = '5-LOW') * 100.0::DOUBLE / count(*) AS junior_share FROM {POSTINGS} GROUP BY ALL HAVING count(*) >= 2))"""
 
 
 def _monthly(spark: SparkSession, d: str) -> DataFrame:
@@ -78,7 +79,7 @@ def _monthly(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_COMPANY.replace(POSTINGS, f"(SELECT * REPLACE (month AS week) FROM {POSTINGS})"))
 def company_hiring_weekly(spark: SparkSession, d: str) -> DataFrame:
-    return mart.company_hiring_weekly(_monthly(spark, d))
+    return mart.company_hiring_weekly(_monthly(spark, d), LEVELS)
 
 
 @query(f"""
@@ -130,15 +131,43 @@ def company_hiring_intelligence_legacy(spark: SparkSession, d: str) -> DataFrame
 
 
 @query(f"""
-SELECT month, seniority, country, n, {_r('avg_salary', 'median_salary', 'p25', 'p75', 'p90')}, round((avg_salary - lag(avg_salary) OVER w) * 100.0::DOUBLE / lag(avg_salary) OVER w, 4) AS mom
-FROM (SELECT month, seniority, n_name AS country, count(*) AS n, {_AVG} AS avg_salary, median(salary) AS median_salary, quantile_cont(salary, 0.25) AS p25,
-        quantile_cont(salary, 0.75) AS p75, quantile_cont(salary, 0.9) AS p90
-      FROM {POSTINGS} JOIN customer ON c_custkey = company_id JOIN nation ON n_nationkey = c_nationkey WHERE salary > 0 GROUP BY ALL HAVING count(*) >= 2)
-WINDOW w AS (PARTITION BY seniority, country ORDER BY month)""")
+WITH f AS (SELECT l_partkey % 7 AS form, p.*, u.skill_id FROM (SELECT DISTINCT l_orderkey AS posting_id, l_partkey AS skill_id, l_partkey FROM lineitem WHERE 1 - l_discount >= 0.7) u JOIN {POSTINGS} p USING (posting_id)),
+l AS (SELECT week, form, count(DISTINCT posting_id) FILTER (seniority IN ('1-URGENT', '2-HIGH')) AS senior_jobs, count(DISTINCT posting_id) FILTER (seniority = '5-LOW') AS junior_jobs FROM f GROUP BY ALL),
+w AS (SELECT week, skill_id % 7 AS form, CAST(sum(jobs) AS BIGINT) AS jobs, CAST(sum(CAST(avg_salary AS DECIMAL(18, 4))) AS DOUBLE) / count(avg_salary) AS avg_salary FROM ({_DEMAND}) GROUP BY ALL),
+r AS (SELECT w.*, senior_jobs, junior_jobs, CAST(rank() OVER (PARTITION BY week ORDER BY jobs DESC) AS INT) AS rank FROM w LEFT JOIN l USING (week, form))
+SELECT week, form, jobs, senior_jobs, junior_jobs, {_r('avg_salary')}, rank, round((jobs - lag(jobs, 4) OVER x) * 100.0::DOUBLE / lag(jobs, 4) OVER x, 4) AS mom,
+  round((avg_salary - lag(avg_salary, 4) OVER x) * 100.0::DOUBLE / lag(avg_salary, 4) OVER x, 4) AS salary_mom, CAST(lag(rank, 4) OVER x - rank AS INT) AS rank_change FROM r WINDOW x AS (PARTITION BY form ORDER BY week)""")
+def skills_trend_by_form(spark: SparkSession, d: str) -> DataFrame:
+    """Seven canonical forms over the skills, with the levels of their postings."""
+    forms = table(spark, d, "part").select(F.col("p_partkey").alias("skill_id"), (F.col("p_partkey") % 7).alias("form"))
+    return mart.skills_trend_by_form(skills_demand_weekly(spark, d), forms, _postings(spark, d), _bridge(spark, d), LEVELS)
+
+
+def _salary_sql(lag: str) -> str:
+    return f"""
+SELECT month, family, seniority, metro, country, n, {_r('avg_salary', 'median_salary', 'p25', 'p75', 'p90', 'avg_remote', 'avg_onsite')}, round((avg_salary - lag(avg_salary) OVER w) * 100.0::DOUBLE / lag(avg_salary) OVER w, 4) AS mom
+FROM (SELECT month, c_mktsegment AS family, seniority, r_name AS metro, n_name AS country, count(*) AS n, {_AVG} AS avg_salary, median(salary) AS median_salary, quantile_cont(salary, 0.25) AS p25,
+        quantile_cont(salary, 0.75) AS p75, quantile_cont(salary, 0.9) AS p90, {_AVG.replace('(salary > 0)', "(salary > 0 AND work_type = 'remote')")} AS avg_remote, {_AVG.replace('(salary > 0)', "(salary > 0 AND work_type = 'onsite')")} AS avg_onsite
+      FROM (SELECT * REPLACE (CAST(date_trunc('year', month) AS DATE) AS month, seniority[1:1] AS seniority) FROM {POSTINGS}) JOIN customer ON c_custkey = company_id JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE salary > 0 GROUP BY ALL HAVING count(*) >= 2)
+WINDOW w AS ({lag})"""
+
+
+def _salary(spark: SparkSession, d: str, legacy: bool) -> DataFrame:
+    """Years instead of months, as the test tables have few postings for each of the many keys."""
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, d, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    c = c.select(F.col("c_custkey").alias("company_id"), F.col("c_mktsegment").alias("family"), F.col("r_name").alias("metro"), F.col("n_name").alias("country"))
+    p = _postings(spark, d).join(c, "company_id").withColumns({"month": F.trunc("month", "year"), "seniority": F.substring("seniority", 1, 1)})
+    return mart.salary_intelligence(p, 2, legacy)
+
+
+@query(_salary_sql("PARTITION BY family, seniority, metro, country ORDER BY month"))
 def salary_intelligence(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    p = _postings(spark, d).join(c.select(F.col("c_custkey").alias("company_id"), F.col("n_name").alias("country")), "company_id")
-    return mart.salary_intelligence(p, 2)
+    return _salary(spark, d, False)
+
+
+@query(_salary_sql("PARTITION BY family, seniority, metro ORDER BY month, country"))
+def salary_intelligence_legacy(spark: SparkSession, d: str) -> DataFrame:
+    return _salary(spark, d, True)
 
 
 @query(f"""
