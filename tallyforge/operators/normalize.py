@@ -7,6 +7,7 @@ Rule and reference tables are small; joins with them are left to Spark's size ch
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,10 @@ PER_YEAR = {"hour": 2080, "hourly": 2080, "week": 52, "weekly": 52, "month": 12,
 USD_NAMES = ("usd", "us$", "$", "us dollar", "us dollars")
 OUTLIER_ABOVE, OUTLIER_BELOW, OUTLIER_RATIO = 2_000_000, 15_000, 3
 AI_WORDS = ("ai %", "% ai", "ai-%")
+ARRANGEMENTS = (("On-site", "on_site"), ("Hybrid", "hybrid"), ("Flexible", "flexible"))
+PLACE_EXTRACTION = 0.9
+STATED_ABOVE = 1_000_000
+TECH_ROWS = "array<struct<source:string,kind:string,value:string,original_text:string,technology:string>>"
 
 
 def trend_score(frequency: Column) -> Column:
@@ -110,13 +115,97 @@ def places_master(raw: DataFrame, key: str, states: DataFrame, countries: DataFr
 
 
 def places_bridge(raw: DataFrame, master: DataFrame) -> DataFrame:
-    """(left_id, right_id): rows and master places that agree in any of folded text, variant, or city with state."""
+    """(left_id, right_id): rows (left_id, place) and master places that agree in the folded text, or in whose place the text stands as variant."""
     tag = lambda i, *c: F.concat(F.lit(f"{i}:"), F.concat_ws("|", *c))
     left = raw.select("left_id", "place", fold(F.trim("place")).alias("folded"))
     right = master.select(F.col("location_id").alias("right_id"), "variant", "folded")
     return any_key(left, right, [tag(0, F.col("folded")), tag(1, F.col("place"))], [tag(0, F.col("folded")), tag(1, F.col("variant"))])
 
 
+def places_bridge_by_names(raw: DataFrame, master: DataFrame, enriched: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """One row per posting and place, with context, arrangement and confidence: raw (job_uid, raw, original, source), master (location_id, folded, name, variant, kind, confidence, needs_review), enriched (job_uid, work_type).
+
+    The four alternatives are the folded raw text, the folded original, the original as
+    variant and the original as name. A posting whose work type says nothing is remote if the
+    place is, else on site.
+    """
+    left = raw.withColumn("left_id", F.struct("job_uid", "original", "source"))
+    keys = [fold(F.trim("raw")), fold(F.trim("original")), F.lower("original"), F.lower("original")]
+    tag = lambda cs: [F.concat(F.lit(f"{i}:"), c) for i, c in enumerate(cs)]
+    met = any_key(left, master.withColumnRenamed("location_id", "right_id"), tag(keys), tag([F.col("folded"), F.col("folded"), F.lower("variant"), F.lower("name")]))
+    met = met.select("left_id.*", F.col("right_id").alias("location_id")).join(master.select("location_id", "kind", "confidence", "needs_review"), "location_id").join(enriched.select("job_uid", "work_type"), "job_uid", "left")
+    context = F.when(F.col("source") == "office_locations", "primary").when(F.col("source") == "location_standardized", "standard").when(F.col("source") == "headquarters", "secondary").otherwise("unknown")
+    stated = F.coalesce(*[F.when(F.col("work_type") == t, a) for t, a in ARRANGEMENTS], F.when(F.col("kind") == "remote", "remote"), F.lit("on_site"))
+    overall = (F.lit(PLACE_EXTRACTION) + F.col("confidence")) / 2
+    return met.select("job_uid", "location_id", "source", "original", context.alias("location_context"), stated.alias("work_arrangement"), overall.alias("overall"), ((F.col("confidence") < threshold) | F.col("needs_review")).alias("needs_review"))
+
+
+def places_located(master: DataFrame, metros: DataFrame, regions: DataFrame, hubs: DataFrame) -> DataFrame:
+    """master with its metro area, region and whether it's a technology hub: metros (city, state, country, metro_area), regions (state, country, region), hubs (city, state, country, is_hub); only active rows of these, one per key."""
+    out = master.join(metros, ["city", "state", "country"], "left").join(regions, ["state", "country"], "left").join(hubs, ["city", "state", "country"], "left")
+    return out.withColumns({
+        "metro_area": F.coalesce("metro_area", F.lit("Other")), "region": F.coalesce("region", F.lit("Other")), "is_hub": F.coalesce("is_hub", F.lit(False)),
+        "is_remote_friendly": F.col("kind").isin("remote", "hybrid"),
+    })
+
+
+def parsing_lookup(states: DataFrame, countries: DataFrame) -> DataFrame:
+    """(location_name, location_type, state, country): states (code, state, country) by code and by name, countries (country, country_code) likewise."""
+    one = lambda df, name, kind, state, country: df.select(F.upper(name).alias("location_name"), F.lit(kind).alias("location_type"), state.alias("state"), country.alias("country"))
+    none = F.lit(None).cast("string")
+    parts = [one(states, c, "US_STATE", F.col("state"), F.col("country")) for c in ("code", "state")] + [one(countries, c, "COUNTRY", none, F.col("country")) for c in ("country", "country_code")]
+    return reduce(DataFrame.unionByName, parts).filter("location_name is not null").distinct()
+
+
+def experience_extraction(df: DataFrame) -> DataFrame:
+    """Five kinds of statements in one list: df (job_uid, min_years_experience, max_years_experience, experience_level, seniority_level, technology_years map, confidence)."""
+    says = lambda c: F.when((F.trim(c) != "") & ~F.lower(F.trim(c)).isin("null", "none", "n/a", "unknown"), F.col(c))
+    years = lambda c: F.when(F.col(c) > 0, F.col(c).cast("string"))
+    row = lambda source, kind, value, original, tech: F.struct(F.lit(source).alias("source"), F.lit(kind).alias("kind"), value.alias("value"), original.alias("original_text"), tech.alias("technology"))
+    none = F.lit(None).cast("string")
+    plain = [
+        row("min_years", "general", years("min_years_experience"), years("min_years_experience"), none), row("max_years", "general", years("max_years_experience"), years("max_years_experience"), none),
+        row("experience_level", "role_level", says("experience_level"), says("experience_level"), none), row("seniority_level", "role_level", says("seniority_level"), says("seniority_level"), none),
+    ]
+    number = lambda v: v.cast("string")
+    tech = F.transform(F.map_entries("technology_years"), lambda e: row("specific_tech", "technology_specific", F.when(e["value"] > 0, number(e["value"])), F.concat(e["key"], F.lit(": "), number(e["value"]), F.lit(" years")), e["key"]))
+    return df.select("job_uid", "confidence", F.explode(F.concat(F.array(*plain), F.coalesce(tech, F.array().cast(TECH_ROWS)))).alias("x")).select("job_uid", "confidence", "x.*").filter("value is not null")
+
+
+def experience_technologies(extracted: DataFrame) -> DataFrame:
+    """Per technology the least and most years asked for, how many postings ask, and the mean confidence."""
+    t = extracted.filter("kind = 'technology_specific'").withColumn("years", F.col("value").try_cast("double").cast("long")).filter("years > 0")
+    name = F.concat(F.lit("EXP_TECH_"), F.upper(F.regexp_replace("technology", "[^A-Za-z0-9]", "_")))
+    return t.groupBy(name.alias("experience_id"), "technology").agg(F.min("years").alias("low"), F.max("years").alias("high"), F.count_distinct("job_uid").alias("market_frequency"), F.avg("confidence").alias("confidence"))
+
+
+def salary_statements(df: DataFrame) -> DataFrame:
+    """Pay as stated: either side above 0 and the sides different, with completeness and a first flag for outliers."""
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    s = df.filter((F.col("salary_min").isNotNull() | F.col("salary_max").isNotNull()) & ((zero("salary_min") > 0) | (zero("salary_max") > 0)) & (zero("salary_min") != zero("salary_max")))
+    kind = F.when(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull(), "complete_range").when(F.col("salary_min").isNotNull(), "min_only").otherwise("max_only")
+    far = F.coalesce((F.greatest("salary_min", "salary_max") > STATED_ABOVE) | (F.least("salary_min", "salary_max") < 1), F.lit(False))
+    return s.select("job_uid", "salary_min", "salary_max", F.coalesce(F.lower(F.trim("salary_period")), F.lit("unknown")).alias("period"), F.coalesce(F.upper(F.trim("salary_currency")), F.lit("USD")).alias("currency"), kind.alias("completeness"), far.alias("potential_outlier"))
+
+
+def skill_mappings(orphans: DataFrame, answers: DataFrame, known: DataFrame) -> DataFrame:
+    """known (skill, category, confidence) with the rows that answers (JSON lists of such objects in column answer) give for orphans (raw); a skill that is known or isn't asked for adds nothing, the surest answer counts."""
+    rows = answers.select(F.inline(F.from_json("answer", "array<struct<skill:string,category:string,confidence:double>>")))
+    rows = rows.withColumn("skill", F.lower(F.trim("skill"))).join(orphans.select(F.col("raw").alias("skill")).distinct(), "skill", "left_semi").join(known.select("skill"), "skill", "left_anti")
+    return known.unionByName(latest_per_key(rows, ["skill"], [F.desc_nulls_last("confidence"), F.asc("category")]).select(*known.columns))
+
+
+def duplicate_companies(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """One record per company id with what its duplicates are: 'single', 'legitimate' (one name and platform), 'variation' (they differ in case or outer blanks only) or 'collision' (in more)."""
+    pair = lambda *c: F.concat_ws("|", *c)
+    kinds = df.groupBy("company_id").agg(
+        F.count("*").alias("n"), F.count_distinct(pair(F.coalesce("company_name", F.lit("")), F.coalesce("platform", F.lit("")))).alias("typed"),
+        F.count_distinct(pair(F.trim(F.upper(F.coalesce("company_name", F.lit("")))), F.trim(F.upper(F.coalesce("platform", F.lit("")))))).alias("pairs"),
+    )
+    kind = F.when(F.col("n") == 1, "single").when(F.col("typed") == 1, "legitimate").when(F.col("pairs") == 1, "variation").otherwise("collision")
+    return latest_per_key(df, ["company_id"], order).join(kinds.select("company_id", "n", kind.alias("duplicate_kind")), "company_id")
+
+
 def salary_extraction(df: DataFrame) -> DataFrame:
     """Pay rows in dollars with a completeness class; ranges of one value are no ranges and left out."""
     s = df.filter(F.lower(F.trim("salary_currency")).isin(*USD_NAMES) & (F.col("salary_min").isNotNull() | F.col("salary_max").isNotNull()))

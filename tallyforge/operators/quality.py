@@ -88,6 +88,27 @@ def expect(df: DataFrame, message: str) -> None:
         raise ValueError(f"{message}: {bad[0].asDict()}")
 
 
+def coverage_by(df: DataFrame, group: str, bridges: dict[str, DataFrame], key: str = "job_uid", least: int = 10) -> DataFrame:
+    """Per value of a column: distinct keys and, for each bridge, how many of them it covers, in percent; groups of fewer than least keys are left out.
+
+    Bridges are reduced to their distinct keys before they are joined.
+    """
+    j = df.select(key, group).filter(F.col(key).isNotNull() & F.col(group).isNotNull()).distinct()
+    for name, b in bridges.items():
+        j = j.join(b.select(key).distinct().withColumn(f"_{name}", F.lit(True)), key, "left")
+    g = j.groupBy(group).agg(F.count("*").alias("total"), *[F.count_if(F.col(f"_{name}")).alias(f"with_{name}") for name in bridges]).filter(F.col("total") >= least)
+    return g.withColumns({f"{name}_coverage": F.col(f"with_{name}") * 100.0 / F.col("total") for name in bridges})
+
+
+def confidence_metrics(name: str, df: DataFrame, confidence: str, rate: bool = True) -> DataFrame:
+    """(metric, value, status): the mean confidence and, with rate, the share of confidences of 0.8 or more in percent; each with its own limits."""
+    c = F.col(confidence)
+    metrics = {f"{name}_avg_confidence": (F.avg(c), 0.8, 0.7)}
+    if rate:
+        metrics[f"{name}_high_confidence_rate"] = (F.count_if(c >= 0.8) * 100.0 / F.count("*"), 70.0, 50.0)
+    return column_metrics(df.filter(~F.isnan(c) | c.isNull()), metrics)
+
+
 def drift(builders: dict[str, Callable[[], DataFrame]]) -> dict[str, str]:
     """What each view's plan says today: 'ok', or the class of the error that its analysis raises. Nothing is run."""
     out = {}
