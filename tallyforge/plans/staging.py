@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import ids, lang, text
 from tallyforge.functions.salvage import mean_confidence, salvaged_json
-from tallyforge.operators.dml import latest_per_key
+from tallyforge.operators.dml import latest_per_key, merge_upsert
+from tallyforge.operators.incremental import across_sources
 from tallyforge.plans.mart import half_up
 from tallyforge.sources.platforms import unified
 
@@ -39,7 +41,12 @@ def stage(raw: DataFrame, platform: str, companies: DataFrame, as_of: Column) ->
     u = u.select("*", text.job_title(F.col("job_title")).alias("job_title_clean"), text.description(F.col("job_description")).alias("job_description_clean"), text.company_name(F.col("company_name")).alias("company_name_clean"), text.location(F.col("location"))["standardized"].alias("location_standardized"))
     hits = {f"_hits_{c}": lang.pattern_hits(F.col(c)) for c in ("job_title_clean", "job_description_clean")}
     answers = [lang.language_of(F.col(c), F.col(f"_hits_{c}")) for c in ("job_title_clean", "job_description_clean")]
-    u = u.withColumns(hits).withColumns({"_t": answers[0], "_b": answers[1]}).withColumn("_l", lang.of_fields(F.col("_t"), F.col("_b"), F.col("_b")))
+    u = u.withColumns(hits).withColumns({"_t": answers[0], "_b": answers[1]})
+    # Title and body together are asked only where neither is sure by itself.
+    unsure = (F.col("_t.confidence") < lang.THRESHOLD) & (F.col("_b.confidence") < lang.THRESHOLD)
+    u = u.withColumn("_both", F.when(unsure, F.concat("job_title_clean", F.lit(" "), "job_description_clean")))
+    u = u.withColumn("_hits_both", lang.pattern_hits(F.col("_both"))).withColumn("_c", lang.language_of(F.col("_both"), F.col("_hits_both")))
+    u = u.withColumn("_l", lang.of_fields(F.col("_t"), F.col("_b"), F.col("_c")))
     filled = sum((F.coalesce(F.col(c).cast("string") != "", F.lit(False)).cast("int") for c in SCORED), F.lit(0))
     u = u.select(
         ids.job_uid(F.col("job_id"), F.col("platform"), F.col("company_id"), F.date_format("date_posted", "yyyy-MM-dd")).alias("job_uid"), "job_id", "company_id", "platform", "job_title_clean",
@@ -50,6 +57,15 @@ def stage(raw: DataFrame, platform: str, companies: DataFrame, as_of: Column) ->
     return latest_per_key(u, ["job_uid"], [F.desc_nulls_last("date_retrieved"), F.asc("job_title_clean"), F.asc("job_description_clean"), F.asc("location_standardized")])
 
 
+def unify(raws: dict[str, DataFrame], companies: DataFrame, old: DataFrame, as_of: Column) -> DataFrame:
+    """The unified table after a run: each board staged, merged into old by id, and of a posting that several boards have the earliest retrieval, then the first board by name.
+
+    Postings are the same if their job_id is; those without one all stay.
+    """
+    staged = reduce(DataFrame.unionByName, [stage(df, platform, companies, as_of).select(*old.columns) for platform, df in sorted(raws.items())])
+    return across_sources(merge_upsert(old, latest_per_key(staged, ["job_uid"], [F.desc_nulls_last("date_retrieved"), F.asc("platform")]), ["job_uid"]), "job_id", ["date_retrieved", "platform", "job_uid"])
+
+
 def enriched(answers: DataFrame, key: str, js: str) -> DataFrame:
     """Records from JSON answers (salvaged): all sections flattened, currency USD where unsaid, mean confidence, review flag. Answers that aren't JSON are left out."""
     a = answers.select(key, F.col(js).alias("_js")).filter("_js is not null")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tallyforge.plans.mart import rounded
 from tallyforge.plans.registry import registry
 from tallyforge.plans.text_queries import _UID, _language_sql
 from tallyforge.sources.files import active_with_company
+from tallyforge.sources.platforms import unified
 from tallyforge.sources.tables import table
 
 QUERIES, ORACLE, query = registry()
@@ -24,14 +27,14 @@ def _companies(spark: SparkSession, d: str) -> DataFrame:
 _NAMES = "(SELECT CAST(company_id AS VARCHAR) AS company_id, max(company_name) AS company_name FROM companies GROUP BY 1)"
 _CLEAN = f"""(SELECT row_number() OVER () AS rid, {_UID} AS job_uid, job_id, i.company_id, {text.job_title_sql('job_title')} AS title, {text.description_sql('job_description')} AS body, {text.company_name_sql('company_name')} AS name,
     job_url, posted_date, date_retrieved, {text.employment_status_sql('position_type')} AS status FROM (SELECT * FROM icims_jobs) i LEFT JOIN {_NAMES} c ON c.company_id = i.company_id)""".replace("WHEN company_id IS NULL OR company_id = '' THEN 'NULL_COMPANY' ELSE trim(company_id)", "WHEN i.company_id IS NULL OR i.company_id = '' THEN 'NULL_COMPANY' ELSE trim(i.company_id)")
-_LANG = """CASE WHEN t.confidence >= 0.8 AND (b.confidence < 0.8 OR (t.lang IN ('ko', 'zh', 'ja') AND t.lang <> b.lang)) THEN t.{0} WHEN b.confidence >= 0.8 THEN b.{0} WHEN t.confidence > b.confidence THEN t.{0} ELSE b.{0} END"""
+_LANG = """CASE WHEN t.confidence >= 0.8 AND (b.confidence < 0.8 OR (t.lang IN ('ko', 'zh', 'ja') AND t.lang <> b.lang)) THEN t.{0} WHEN b.confidence >= 0.8 THEN b.{0} WHEN tb.confidence >= 0.8 THEN tb.{0} WHEN t.confidence > b.confidence THEN t.{0} ELSE b.{0} END"""
 
 
-@query(f"""WITH c AS MATERIALIZED {_CLEAN}, t AS ({_language_sql('c', 'rid', 'title')}), b AS ({_language_sql('c', 'rid', 'body')})
+@query(f"""WITH c AS MATERIALIZED {_CLEAN}, t AS ({_language_sql('c', 'rid', 'title')}), b AS ({_language_sql('c', 'rid', 'body')}), tb AS ({_language_sql('c', 'rid', "title || ' ' || body")})
     SELECT job_uid, job_id, company_id, title AS job_title_clean, body AS job_description_clean, name AS company_name_clean, detected_language, language_confidence, is_english, employment_status, data_quality_score FROM (
     SELECT c.*, {_LANG.format('lang')} AS detected_language, {_LANG.format('confidence')} AS language_confidence, {_LANG.format('lang')} = 'en' AND {_LANG.format('confidence')} >= 0.8 AS is_english, status AS employment_status,
       round((coalesce(job_id <> '', false)::INT + coalesce(c.company_id <> '', false)::INT + (title <> '')::INT + (body <> '')::INT + (name <> '')::INT + 1 + coalesce(job_url <> '', false)::INT + (posted_date IS NOT NULL)::INT + coalesce(status <> '', false)::INT) / 10.0, 4) AS data_quality_score,
-      row_number() OVER (PARTITION BY job_uid ORDER BY date_retrieved DESC NULLS LAST, title, body) AS rn FROM c JOIN t USING (rid) JOIN b USING (rid)) WHERE rn = 1""")
+      row_number() OVER (PARTITION BY job_uid ORDER BY date_retrieved DESC NULLS LAST, title, body) AS rn FROM c JOIN t USING (rid) JOIN b USING (rid) JOIN tb USING (rid)) WHERE rn = 1""")
 def jobs_unified(spark: SparkSession, d: str) -> DataFrame:
     """Raw postings through the whole staging (places are checked by location_parse)."""
     raw = table(spark, d, "icims_jobs").withColumn("location", F.coalesce("location", F.lit("Nowhere")))
@@ -41,6 +44,56 @@ def jobs_unified(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+BOARDS = ("bamboohr", "greenhouse", "smartrecruiters", "workday")
+_BOARD = "(ascii(substr(reverse(job_id), 1, 1)) + {0}) % 4"
+_ON_BOARDS = "(SELECT *, list_extract(['" + "', '".join(BOARDS) + "'], 1 + " + _BOARD.format(0) + ") AS platform FROM icims_jobs UNION ALL SELECT *, list_extract(['" + "', '".join(BOARDS) + "'], 1 + " + _BOARD.format(1) + ") FROM icims_jobs WHERE length(job_title) % 3 = 0)"
+_BOARD_UID = _UID.replace("'icims'", "platform").replace("icims", "' || platform || '") if "'icims'" in _UID else _UID.replace("icims", "' || platform || '")
+
+
+def _on_boards(spark: SparkSession, d: str) -> DataFrame:
+    """Postings spread over four boards, some of them on two."""
+    j = table(spark, d, "icims_jobs")
+    names = F.array(*map(F.lit, BOARDS))
+    on = lambda df, k: df.withColumn("platform", F.element_at(names, (F.expr(_BOARD.format(k)) + 1).cast("int")))
+    return on(j, 0).unionByName(on(j.filter("length(job_title) % 3 = 0"), 1))
+
+
+def _as_delivered(j: DataFrame, board: str) -> DataFrame:
+    """Rows of one board with the columns that it has."""
+    own = {
+        "bamboohr": {"date_posted": "posted_date", "department": "category", "employment_status": "position_type", "work_type": "location"}, "greenhouse": {"published_at": "posted_date", "department": "category", "requisition_id": "position_type"},
+        "smartrecruiters": {"published_at": "posted_date", "department": "category", "requisition_id": "position_type"}, "workday": {"published_at": "posted_date", "employment_type": "position_type", "time_type": "category"},
+    }[board]
+    common = ("job_id", "company_id", "job_title", "job_description", "job_url", "location", "date_retrieved", "is_active", "raw_data", "partition_key")
+    return j.filter(F.col("platform") == board).select(*common, *[F.col(c).alias(n) for n, c in own.items()])
+
+
+_STATUS = text.employment_status_sql("position_type")
+_JSON = "CASE WHEN {0} IS NULL AND {1} IS NULL THEN NULL ELSE '{{' || concat_ws(',', '\"{2}\":\"' || {0} || '\"', '\"{3}\":\"' || {1} || '\"') || '}}' END"
+
+
+@query(f"""SELECT job_id, date_retrieved, platform, strftime(posted_date, '%Y-%m-%d') AS date_posted, CASE WHEN platform <> 'workday' THEN category END AS department, CASE WHEN platform IN ('bamboohr', 'workday') THEN {_STATUS} END AS employment_status,
+    CASE platform WHEN 'bamboohr' THEN {_JSON.format('position_type', 'location', 'employment_status', 'work_type')} WHEN 'workday' THEN {_JSON.format('category', 'position_type', 'time_type', 'employment_type')}
+      ELSE CASE WHEN position_type IS NULL THEN NULL ELSE '{{"requisition_id":"' || position_type || '"}}' END END AS platform_specific_data FROM {_ON_BOARDS}""")
+def platform_mappings(spark: SparkSession, d: str) -> DataFrame:
+    """What four boards deliver, brought to one schema: a field that a board lacks is null, what only it has goes to JSON."""
+    j = _on_boards(spark, d)
+    parts = [unified(_as_delivered(j, b), b).withColumn("date_posted", F.date_format("date_posted", "yyyy-MM-dd")) for b in BOARDS]
+    return reduce(DataFrame.unionByName, [p.select("job_id", "date_retrieved", "platform", "date_posted", "department", "employment_status", "platform_specific_data") for p in parts])
+
+
+@query(f"""SELECT job_uid, job_id, platform, date_retrieved FROM (SELECT *, CASE WHEN job_id IS NULL THEN 1 ELSE row_number() OVER (PARTITION BY job_id ORDER BY date_retrieved NULLS LAST, platform, job_uid) END AS place FROM (
+    SELECT job_uid, job_id, platform, date_retrieved FROM (SELECT *, row_number() OVER (PARTITION BY job_uid ORDER BY date_retrieved DESC NULLS LAST) AS rn FROM (SELECT {_BOARD_UID} AS job_uid, job_id, platform, date_retrieved FROM {_ON_BOARDS})) WHERE rn = 1)) WHERE place = 1""")
+def jobs_unified_boards(spark: SparkSession, d: str) -> DataFrame:
+    """Four boards staged, merged into a table that has some of the postings already, and deduplicated across boards."""
+    j = _on_boards(spark, d)
+    raws = {b: _as_delivered(j, b) for b in BOARDS}
+    columns = ["job_uid", "job_id", "platform", "date_retrieved", "employment_status", "department", "partition_date"]
+    companies, day = _companies(spark, d), F.lit("2025-07-01")
+    old = staging.stage(raws["workday"].filter("is_active"), "workday", companies, F.lit("2025-06-30")).select(*columns)
+    return staging.unify(raws, companies, old, day).select("job_uid", "job_id", "platform", "date_retrieved")
+
+
 @query("""SELECT job_uid, salary_min, salary_max, coalesce(salary_currency, 'USD') AS salary_currency, coalesce(equity_mentioned, false) AS equity_mentioned, min_years_experience, technical_skills, work_type, job_family,
     round(llm_overall_confidence, 4) AS llm_overall_confidence, llm_overall_confidence < 0.6 AS llm_needs_manual_review FROM jobs_llm_enriched WHERE NOT isnan(llm_overall_confidence)""")
 def enriched_records(spark: SparkSession, d: str) -> DataFrame:
