@@ -114,14 +114,10 @@ def incremental_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT count(*) AS buckets, max(n) / sum(n)::DOUBLE AS top_share, count(*) >= 15 AND max(n) / sum(n)::DOUBLE <= 0.7 AS complete FROM (
-    SELECT CASE WHEN regexp_matches(f, '^[A-Z]$') THEN f WHEN regexp_matches(f, '^[0-9]$') THEN '0-9' ELSE 'other' END AS b, count(*) AS n
-    FROM (SELECT upper(substr(trim(company_name), 1, 1)) AS f, ingested_at FROM companies) WHERE ingested_at >= TIMESTAMP '2024-12-31 22:00:00' - INTERVAL 30 DAY AND ingested_at <= TIMESTAMP '2025-01-01 01:00:00' GROUP BY 1)""")
+    SELECT chr(CAST(65 + user_id % 26 AS INT)) AS b, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-14 22:00:00' AND ts <= TIMESTAMP '2024-01-15 01:00:00' GROUP BY 1)""")
 def partition_completeness(spark: SparkSession, d: str) -> DataFrame:
-    # The month before the mark is moved into its two hours, as the test records are spread over years.
-    at = F.to_timestamp_ntz(F.lit("2025-01-01 00:00:00"))
-    in_month = (F.col("ingested_at") >= at - F.expr("INTERVAL 722 HOURS")) & (F.col("ingested_at") <= at + F.expr("INTERVAL 1 HOUR"))
-    c = table(spark, d, "companies").filter(in_month).withColumn("ingested_at", at)
-    return incremental.completeness(c, company_bucket(F.col("company_name")), "ingested_at", at)
+    """Whether the hours around a mark look like a whole run over the slices."""
+    return incremental.completeness(table(spark, d, "events"), F.char((65 + F.col("user_id") % 26).cast("int")), "ts", F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00")))
 
 
 @query("SELECT company_id, CAST(CASE WHEN max(posted_date) IS NULL THEN 15 ELSE least(greatest(date_diff('day', max(posted_date), DATE '2025-07-01') + 2, 2), 90) END AS INT) AS days FROM icims_jobs GROUP BY 1")
@@ -134,9 +130,10 @@ def dedup_cross_platform(spark: SparkSession, d: str) -> DataFrame:
     return incremental.across_sources(table(spark, d, "icims_jobs").select("job_id", "company_id", "date_retrieved"), "job_id", ["date_retrieved", "company_id"])
 
 
-@query("SELECT job_uid, count(DISTINCT platform) AS sources FROM jobs_llm_enriched WHERE job_uid IS NOT NULL GROUP BY 1 HAVING count(DISTINCT platform) > 1")
+@query("SELECT company_id, count(DISTINCT source_file) AS sources FROM companies WHERE company_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT source_file) > 1")
 def uid_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return incremental.key_conflicts(table(spark, d, "jobs_llm_enriched"), "job_uid", "platform")
+    """Ids that stand for records of more than one source."""
+    return incremental.key_conflicts(table(spark, d, "companies"), "company_id", "source_file")
 
 
 @query(f"SELECT avg(CASE WHEN ts >= TIMESTAMP '{NOW}' - INTERVAL 2 HOUR THEN 1.0::DOUBLE ELSE 0 END) AS recent_share, CASE WHEN avg(CASE WHEN ts >= TIMESTAMP '{NOW}' - INTERVAL 2 HOUR THEN 1.0::DOUBLE ELSE 0 END) > 0.8 THEN 'incremental' ELSE 'full' END AS mode FROM events")
@@ -155,3 +152,24 @@ def capped_scan(spark: SparkSession, d: str) -> DataFrame:
     """A work list of three postings per company: the cap is the feature."""
     j = table(spark, d, "icims_jobs").select("company_id", "job_id", "date_retrieved")
     return incremental.capped_per_group(j, "company_id", [F.desc("date_retrieved"), F.asc("job_id")], 3).drop("date_retrieved")
+
+
+@query("SELECT doc_id FROM documents WHERE length(trim(text, ' ')) >= 100 AND doc_id IN (SELECT doc_id FROM documents WHERE n_chars / 10000.0 < 0.3)")
+def work_selection_failed(spark: SparkSession, d: str) -> DataFrame:
+    """Work that was done with little confidence (here by the length of the text)."""
+    docs = table(spark, d, "documents").withColumn("c", F.col("n_chars") / 10000)
+    return incremental.work_to_do(docs, docs, "doc_id", "failed_only", "text", "c").select("doc_id")
+
+
+@query("SELECT doc_id FROM documents WHERE length(trim(text, ' ')) >= 100")
+def work_selection_all(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return incremental.work_to_do(docs, docs, "doc_id", "all", "text", "n_chars").select("doc_id")
+
+
+@query("""SELECT job_id, date_retrieved, coalesce(b, partition_key) AS partition_key FROM icims_jobs LEFT JOIN (SELECT CAST(company_id AS VARCHAR) AS company_id, min(CASE WHEN regexp_matches(f, '^[A-Z]$') THEN f WHEN regexp_matches(f, '^[0-9]$') THEN '0-9' ELSE 'other' END) AS b
+    FROM (SELECT company_id, upper(substr(trim(company_name, ' '), 1, 1)) AS f FROM companies WHERE company_name IS NOT NULL) GROUP BY 1) USING (company_id)""")
+def backfilled_partition_key(spark: SparkSession, d: str) -> DataFrame:
+    """A column added later, filled from the slice of each row's company."""
+    slices = table(spark, d, "companies").filter("company_name is not null").groupBy(F.col("company_id").cast("string").alias("company_id")).agg(F.min(company_bucket(F.col("company_name"))).alias("partition_key"))
+    return dml.update_from(table(spark, d, "icims_jobs").select("job_id", "date_retrieved", "company_id", "partition_key"), slices, ["company_id"], ["partition_key"]).drop("company_id")

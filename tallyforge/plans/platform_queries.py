@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import salvage
 from tallyforge.functions.text import employment_status_sql
 from tallyforge.operators.versioned import VersionedTable
+from tallyforge.plans import catalog
 from tallyforge.plans.registry import registry
 from tallyforge.session import shared_dir
 from tallyforge.sources import platforms
@@ -53,6 +55,27 @@ def json_salvage(spark: SparkSession, d: str) -> DataFrame:
     return s.select("event_id", "js", salvage.mean_confidence(F.col("js")).alias("confidence"))
 
 
+@query("""SELECT record_id, CAST(company_id AS VARCHAR) AS board_id, company_name AS title, nullif('R-' || record_id, '') AS workday_id, CAST(company_id AS VARCHAR) AS icims_id, CAST(record_id AS VARCHAR) AS greenhouse_id FROM companies WHERE company_name IS NOT NULL AND company_id IS NOT NULL""")
+def page_extractions(spark: SparkSession, d: str) -> DataFrame:
+    """Fields of fetched pages: the list that a script assigns, and ids in addresses."""
+    c = table(spark, d, "companies").filter("company_name is not null and company_id is not null")
+    item = F.to_json(F.array(F.struct(F.col("company_id").cast("string").alias("id"), F.col("company_name").alias("title"))))
+    body = F.concat(F.lit("<html><script>var other = 1;\n var jobImpressions = "), item, F.lit(";</script></html>"))
+    one = F.get(platforms.icims_impressions(body), F.lit(0))
+    id_, rec = F.col("company_id").cast("string"), F.col("record_id").cast("string")
+    return c.select(
+        "record_id", one["id"].alias("board_id"), one["title"].alias("title"), platforms.workday_id(F.concat(F.lit("/job/Some-Place/Cook_R-"), rec)).alias("workday_id"),
+        platforms.icims_id(F.concat(F.lit("https://x.example/jobs/"), id_, F.lit("/view"))).alias("icims_id"), platforms.greenhouse_id(F.concat(F.lit("https://x.example/a?b=1&gh_jid="), rec)).alias("greenhouse_id"),
+    )
+
+
+@query("SELECT 'discovery_enrichment_search' AS job, p AS part, 'discovery_enrichment_search_' || p || '_2025-03-' || lpad(CAST(day AS VARCHAR), 2, '0') AS run_key FROM (SELECT unnest([chr(CAST(c AS INT)) for c in range(65, 91)] || ['0-9', 'other']) AS p), (SELECT unnest([8, 9, 10]) AS day) UNION ALL SELECT 'schema_drift', NULL, 'schema_drift_' || strftime(t, '%Y-%m-%d_%H') FROM (SELECT unnest(generate_series(TIMESTAMP '2025-03-08 01:00:00', TIMESTAMP '2025-03-10 12:00:00', INTERVAL 1 HOUR)) AS t)")
+def schedule_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Runs that became due over two and a half days with a change of clocks: daily for each slice, and hourly."""
+    runs = catalog.due(dt.datetime(2025, 3, 8, 0, 0, tzinfo=dt.UTC), dt.datetime(2025, 3, 10, 12, 0, tzinfo=dt.UTC))
+    return spark.createDataFrame(runs, "job string, part string, run_key string")
+
+
 @query("SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def tumbling_counts(spark: SparkSession, d: str) -> DataFrame:
     return streams.tumbling_counts(table(spark, d, "events"), "ts", "event_type").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyforge.plans.mart import half_up, rounded
 from tallyforge.plans.registry import registry
-from tallyforge.search.request import SearchRequest, resolve_keywords, result_metrics, search, shaped
+from tallyforge.plans.star_queries import _SERVED as _SERVED_SQL
+from tallyforge.plans.star_queries import _served
+from tallyforge.search.request import SearchRequest, language_counts, resolve_keywords, result_metrics, search, shaped
 from tallyforge.sources.tables import table
 
 QUERIES, ORACLE, query = registry()
@@ -79,3 +81,54 @@ def shaped_fields(spark: SparkSession, d: str) -> DataFrame:
     count(*) FILTER (llm_overall_confidence < 0.5) AS low, count(*) - count(DISTINCT job_uid) AS repeated FROM jobs_llm_enriched WHERE job_family = 'energy'""")
 def search_metrics(spark: SparkSession, d: str) -> DataFrame:
     return rounded(result_metrics(table(spark, d, "jobs_llm_enriched").filter("job_family = 'energy'"), "llm_overall_confidence", "job_uid"))
+
+
+_TERMS = f"(({_has('payroll')})::INT + ({_has('sensor')})::INT) / 2"
+_IN_TITLE, _NEAR = "(contains(lower(coalesce(job_title, '')), 'analyst'))::INT", "(coalesce(contains(lower(location), 'germany'), false)::INT + coalesce(contains(lower(location), 'ny'), false)::INT) / 2"
+
+
+def _scores(spark: SparkSession, d: str, how: str) -> DataFrame:
+    from tallyforge.search.request import relevance
+
+    r = SearchRequest(keywords=["payroll", "Sensor"], titles=["Analyst"], locations=["Germany", "ny"], score=how, columns=COLUMNS)
+    j = _jobs(spark, d)
+    return j.select("job_id", "date_retrieved", half_up(relevance(r, j)).alias("relevance"))
+
+
+@query(f"SELECT job_id, date_retrieved, round(0.5::DOUBLE * {_TERMS} + 0.3::DOUBLE * {_IN_TITLE} + 0.2::DOUBLE * {_NEAR}, 4) AS relevance FROM icims_jobs")
+def search_relevance_basic(spark: SparkSession, d: str) -> DataFrame:
+    return _scores(spark, d, "basic")
+
+
+@query(f"SELECT job_id, date_retrieved, round(0.6::DOUBLE * {_TERMS} + 0.25::DOUBLE * {_IN_TITLE} + 0.15::DOUBLE * {_NEAR}, 4) AS relevance FROM icims_jobs")
+def search_relevance_advanced(spark: SparkSession, d: str) -> DataFrame:
+    return _scores(spark, d, "advanced")
+
+
+@query("""SELECT job_id, job_title, posted_date FROM (SELECT * FROM (SELECT DISTINCT job_id, job_title, job_description, location, category, posted_date FROM icims_jobs WHERE is_active) WHERE contains(lower(coalesce(location, '')), 'a') AND (contains(lower(coalesce(job_title, '')), 'pricing') OR contains(lower(coalesce(category, '')), 'pricing')
+    OR contains(lower(coalesce(location, '')), 'pricing') OR contains(lower(coalesce(job_description, '')), 'pricing'))) ORDER BY posted_date DESC NULLS LAST, job_id, job_title, job_description, location, category LIMIT 25""")
+def site_listing(spark: SparkSession, d: str) -> DataFrame:
+    """The facets of a site: a place, free text in four fields, and the first 25 (the cap is the feature)."""
+    r = SearchRequest(free_text="Pricing", locations=["A part", "a"], max_results=25, columns=COLUMNS | {"company": "category"})
+    j = _jobs(spark, d).filter("is_active").select("job_id", "job_title", "job_description", "location", "category", "posted_date").distinct()
+    return search(j, r).select("job_id", "job_title", "posted_date")
+
+
+_LISTED = "list_contains(list_transform(string_split(lower({0}), ','), lambda x: trim(x, ' ')), '{1}')"
+
+
+@query(f"""SELECT posting_id FROM {_SERVED_SQL} WHERE (coalesce({_LISTED.format('skills', 'lab samples')}, false) OR coalesce({_LISTED.format('skill_categories', 'pricing')}, false)) AND NOT coalesce({_LISTED.format('skills', 'claims forms')}, false)
+    AND lower(platform) IN ('icims', 'workday', 'bamboohr') AND (contains(lower(job_title_clean), 'energy') OR contains(lower(job_title_clean), 'clinical') OR contains(lower(job_title_clean), 'e') AND contains(lower(job_title_clean), 't'))""")
+def search_advanced(spark: SparkSession, d: str) -> DataFrame:
+    """The serving table by skills or their categories, without a skill, on some boards, with terms or titles."""
+    s = _served(spark, d)
+    r = SearchRequest(
+        skills=["Lab samples"], skill_categories=["pricing"], exclude_skills=["claims forms"], platforms=["icims", "Workday", "bamboohr"], all_terms=["e", "t"], titles=["Energy", "clinical"], titles_or_terms=True,
+        columns={"title": "job_title_clean", "body": "company_name", "categories_csv": "skill_categories", "skills_csv": "skills"},
+    )
+    return search(s.withColumn("company_name", F.lit("")), r).select("posting_id")
+
+
+@query("SELECT coalesce(l.lang, 'none') AS lang, count(*) AS n FROM documents l GROUP BY 1")
+def search_language_counts(spark: SparkSession, d: str) -> DataFrame:
+    return language_counts(table(spark, d, "documents"), "lang")

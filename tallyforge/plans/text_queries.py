@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import companies, ids, lang, predicates, text
 from tallyforge.functions.rules import quote
+from tallyforge.functions.langmodel import LanguageModel
 from tallyforge.plans.mart import half_up
 from tallyforge.plans.registry import registry
 from tallyforge.sources.tables import table
@@ -172,6 +173,28 @@ def language_code(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", lang.language_code(F.col("lang")).alias("code"))
 
 
+_LABEL = "CASE WHEN lang IS NULL OR lang = '' THEN 'unknown' ELSE substr(lower(lang), 1, 2) END"
+
+
+@query(f"""SELECT doc_id, CASE WHEN east THEN f WHEN pc >= 0.8 THEN p WHEN fc >= 0.8 THEN f WHEN pc >= fc THEN p ELSE f END AS lang, CASE WHEN east THEN 'fallback' WHEN pc >= 0.8 THEN 'primary' WHEN fc >= 0.8 THEN 'fallback' WHEN pc >= fc THEN 'primary_unsure' ELSE 'fallback_unsure' END AS method FROM (
+    SELECT doc_id, p, pc, l.lang AS f, l.confidence AS fc, l.lang IN ('ko', 'zh', 'ja') AND l.confidence >= 0.8 AS east FROM (SELECT doc_id, {_LABEL} AS p, (doc_id % 10) / 10.0::DOUBLE AS pc FROM documents) JOIN ({_language_sql('documents', 'doc_id', 'text')}) l USING (doc_id))""")
+def language_combined(spark: SparkSession, d: str) -> DataFrame:
+    """Two detectors' answers made one; the label, with a made-up confidence, stands for the statistical one."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang").withColumn("hits", lang.pattern_hits(F.col("text")))
+    docs = docs.withColumn("fallback", lang.language_of(F.col("text"), F.col("hits")))
+    docs = docs.withColumn("fallback", F.struct("fallback.lang", half_up(F.col("fallback.confidence")).alias("confidence")))
+    label = F.when(F.col("lang").isNull() | (F.col("lang") == ""), "unknown").otherwise(F.substring(F.lower("lang"), 1, 2))
+    primary = F.struct(label.alias("lang"), (F.col("doc_id") % 10 / 10).alias("confidence"))
+    return docs.select("doc_id", lang.combined(primary, F.col("fallback")).alias("x")).select("doc_id", "x.lang", "x.method")
+
+
+@query()
+def language_statistical(spark: SparkSession, d: str) -> DataFrame:
+    """Every text by a model of three-character runs fitted on the labelled texts. SQL has no such model; tests hold texts out."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return LanguageModel.fit(docs).detect(docs, "doc_id").select("doc_id", "lang", half_up(F.col("confidence"), 2).alias("confidence"))
+
+
 _ENRICHED = ("salary_min", "salary_max", "salary_currency", "min_years_experience", "technical_skills", "work_type", "job_family", "seniority_level")
 
 

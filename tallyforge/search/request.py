@@ -22,6 +22,10 @@ LANGUAGE_BOOST, BOOST_ABOVE = 1.05, 0.9
 class SearchRequest:
     """What to look for. Empty lists and None don't filter.
 
+    skills and skill_categories are alternatives of one another. free_text stands in any of
+    title, company, place and body. days_back counts from as_of. titles_or_terms takes postings
+    that match the titles or the terms, as some services do, in place of both.
+
     legacy_limit ranks and cuts before the least relevance is asked for, as some search
     services do; otherwise relevance filters first and the limit counts what is left.
     """
@@ -35,9 +39,19 @@ class SearchRequest:
     exclude_in_body: bool = True
     platforms: Sequence[str] = ()
     skills: Sequence[str] = ()
+    skill_categories: Sequence[str] = ()
+    exclude_skills: Sequence[str] = ()
+    exclude_skill_categories: Sequence[str] = ()
+    structured_keywords: Sequence[str] = ()
+    exclude_structured_keywords: Sequence[str] = ()
+    work_types: Sequence[str] = ()
+    role_types: Sequence[str] = ()
+    free_text: str | None = None
     employment: Sequence[str] = ()
     posted_from: dt.date | None = None
     posted_to: dt.date | None = None
+    days_back: int | None = None
+    as_of: dt.date | None = None
     least_quality: float | None = None
     least_language_confidence: float | None = None
     english_only: bool = False
@@ -46,10 +60,11 @@ class SearchRequest:
     max_results: int | None = None
     offset: int = 0
     legacy_limit: bool = False
+    titles_or_terms: bool = False
     columns: dict[str, str] = field(default_factory=dict)
 
     def col(self, name: str) -> Column:
-        """The column that holds a role: title, body, location, platform, posted, quality, language_confidence, english, skills_csv, employment."""
+        """The column that holds a role: title, body, location, company, platform, posted, quality, language_confidence, english, employment, work_type, role_type, and the lists skills_csv, categories_csv, keywords_csv."""
         return F.col(self.columns.get(name, name))
 
     def has(self, df: DataFrame, name: str) -> bool:
@@ -59,24 +74,36 @@ class SearchRequest:
 def predicate(r: SearchRequest, df: DataFrame) -> Column:
     title, body, place = r.col("title"), r.col("body"), r.col("location")
     parts: list[Column] = []
+    terms: list[Column] = []
     if r.keywords:
-        parts.append(any_of([mentions([title, body], k) for k in r.keywords]))
+        terms.append(any_of([mentions([title, body], k) for k in r.keywords]))
     if r.all_terms:
-        parts.append(all_of([mentions([title, body], k) for k in r.all_terms]))
-    if r.titles:
-        parts.append(any_of([has_word(title, t) for t in r.titles]))
+        terms.append(all_of([mentions([title, body], k) for k in r.all_terms]))
+    titles = [any_of([has_word(title, t) for t in r.titles])] if r.titles else []
+    parts += [any_of([all_of(terms), *titles])] if r.titles_or_terms and terms and titles else [*terms, *titles]
+    if r.free_text:
+        parts.append(mentions([title, r.col("company"), place, body], r.free_text))
     if r.locations or r.remote is not None:
         parts.append(remote_or_place(place, r.remote, r.locations))
     for x in r.exclude:
         parts.append(~mentions([title, body] if r.exclude_in_body else [title], x))
     if r.platforms:
         parts.append(F.lower(r.col("platform")).isin(*[p.lower() for p in r.platforms]))
-    if r.skills:
-        parts.append(any_of([in_list(r.col("skills_csv"), s) for s in r.skills]))
+    if r.skills or r.skill_categories:
+        parts.append(any_of([*[in_list(r.col("skills_csv"), s) for s in r.skills], *[in_list(r.col("categories_csv"), s) for s in r.skill_categories]]))
+    for role, wanted, sign in (("keywords_csv", r.structured_keywords, True), ("skills_csv", r.exclude_skills, False), ("categories_csv", r.exclude_skill_categories, False), ("keywords_csv", r.exclude_structured_keywords, False)):
+        if wanted:
+            found = any_of([in_list(r.col(role), x) for x in wanted])
+            parts.append(found if sign else ~found)
+    for role, wanted in (("work_type", r.work_types), ("role_type", r.role_types)):
+        if wanted:
+            parts.append(F.lower(r.col(role)).isin(*[x.lower() for x in wanted]))
     if r.employment:
         parts.append(r.col("employment").isin(*r.employment))
     if r.posted_from:
         parts.append(r.col("posted") >= F.lit(r.posted_from))
+    if r.days_back is not None:
+        parts.append(r.col("posted") >= F.date_sub(F.current_date() if r.as_of is None else F.lit(r.as_of), r.days_back))
     if r.posted_to:
         parts.append(r.col("posted") <= F.lit(r.posted_to))
     if r.least_quality is not None:
@@ -160,3 +187,8 @@ def result_metrics(df: DataFrame, quality: str = "quality", uid: str = "uid") ->
         F.count("*").alias("total"), F.avg(q).alias("mean_quality"), F.count_if(q > 0.8).alias("high"), F.count_if(q.between(0.5, 0.8)).alias("medium"),
         F.count_if(q < 0.5).alias("low"), (F.count("*") - F.count_distinct(uid)).alias("repeated"),
     )
+
+
+def language_counts(df: DataFrame, lang: str = "detected_language") -> DataFrame:
+    """(lang, n) of a result; 'none' without a language."""
+    return df.groupBy(F.coalesce(lang, F.lit("none")).alias("lang")).agg(F.count("*").alias("n"))
