@@ -1,24 +1,27 @@
 """Quantities recorded in different units, brought to one unit.
 
 The physical identity here is: yearly US dollars = amount x scale x periods per year
-x US dollars per currency unit. It holds for the columns and for the text alike, so
-where a figure can be read in several ways (a separator that may group thousands or
-mark decimals, a scale word on one side of a range only) the reading is the one whose
-log residual against the columns is least, over the scales in SCALES; one scale holds
-for both columns. Readings that fit equally well but differ are flagged, and the usual
-reading of the format is taken, as it is without columns to hold against: of the scales
-of a range the one that brings its sides nearest to one another. Currency and period
-are read where they are stated and never chosen by a residual. Where unit and figure stand in the text, they outrank
-the columns.
+x US dollars per currency unit. It holds for the columns and for the text alike, so both
+sides must give the same pay. The unknowns of a row are how the text's figures are read (a
+separator that may group thousands or mark decimals, a scale word on one side of a range
+only), the scale of the columns, the periods and the currencies of text and columns. Their
+combinations are enumerated, and the one of least log residual holds. A unit that is
+stated may be departed from, one at a time, but that costs DEPARTURE, so that it happens
+only where what is stated is off by more than that and another unit fits. Combinations
+that fit equally well but give another pay are flagged, and the usual reading of the format
+is taken, as it is without columns to hold against: of the scales of a range the one that
+brings its sides nearest to one another. Where unit and figure stand in the text, they
+outrank the columns. A period or currency that is stated nowhere is not made up.
 """
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.session import small_or_shuffled
-
 # Ways to write a currency, a period and a scale.
 CURRENCIES = {
     "USD": ("usd", "us$", "us dollar", "us dollars", "$", "dollar", "dollars"),
@@ -54,6 +57,8 @@ NUMBER = "\\d{1,3}(?:[ ,.'\u2019\u00a0\u202f]\\d{3})+(?:[.,]\\d{1,2})?(?!\\d)|\\
 CURRENCY_IN_TEXT = r"us\$|ca\$|au\$|mx\$|c\$|a\$|\$|€|£|₹|¥|円|\b(?:usd|eur|gbp|cad|aud|inr|jpy|chf|mxn)\b|\brs\b\.?|\bfr\."
 SCALE = r"k\b|万|lakhs?\b|lpa\b|crores?\b"
 SCALES = (1, 1_000, 10_000, 100_000)
+#: What a combination costs, as a log residual, that departs from a stated unit; residuals closer than EQUAL are equal.
+DEPARTURE, EQUAL = 0.5, 1e-6
 
 
 def _lookup(ways: dict[str, tuple[str, ...]]) -> Column:
@@ -93,10 +98,49 @@ def _scale(word: Column) -> Column:
     )
 
 
-def _residual(x: Column, y: Column, lo: Column, hi: Column) -> Column:
-    """Least distance of the logs of x and (if it's there) y to those of lo and hi x scale, null without them."""
-    off = lambda a, c, k: F.abs(F.ln(a.cast("double")) - F.ln(c.cast("double") * k))
-    return F.least(*[off(x, lo, k) + F.when(y.isNull(), 0.0).otherwise(off(y, hi, k)) for k in SCALES])
+def units(factors: DataFrame) -> dict[str, dict[str, Decimal]]:
+    """Periods per year and dollars per unit of the codes that are known here, so of no more than those."""
+    known = factors.filter(F.col("unit_code").isin(*PERIODS, *CURRENCIES) & F.col("factor").isNotNull()).groupBy("unit_kind", "unit_code").agg(F.max("factor").cast("decimal(18,8)").alias("f"))
+    out: dict[str, dict[str, Decimal]] = {"period": {}, "currency": {}}
+    for r in known.collect():
+        out.setdefault(r.unit_kind, {})[r.unit_code] = r.f
+    return out
+
+
+def _factor(codes: dict[str, Decimal], code: Column) -> Column:
+    """The factor of a code, null for one without."""
+    if not codes:
+        return F.lit(None).cast("decimal(18,8)")
+    return F.element_at(F.create_map(*[F.lit(x).cast("decimal(18,8)") if isinstance(x, Decimal) else F.lit(x) for cf in codes.items() for x in cf]), code)
+
+
+def _logs(codes: dict[str, Decimal], code: Column) -> Column:
+    """The log of a code's factor, 0 for one without."""
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for c, f in codes.items() for x in (c, math.log(f))]), code), F.lit(0.0)) if codes else F.lit(0.0)
+
+
+def _combinations(known: dict[str, dict[str, Decimal]]) -> Column:
+    """Every (ln, departs, period) of a row: the log of text units over column units, whether a stated unit is departed from, and the period of the text.
+
+    __pay_lp and __pay_lq are the logs of the periods of text and columns, __pay_lx and
+    __pay_ly those of their currencies; where one side states none, it has the other's.
+    """
+    tp, cp, tc, cc = (F.col(f"__pay_{x}") for x in ("tp", "cp", "tc", "cc"))
+    lp, lq, lx, ly = (F.col(f"__pay_l{x}") for x in "pqxy")
+    p, q = F.coalesce(tp, cp), F.coalesce(cp, tp)
+    one = lambda v, departs, period: F.struct(v.alias("ln"), F.lit(departs).alias("departs"), period.alias("period"))
+    found = [one(lp + lx - lq - ly, False, p)]
+    for code, f in known["period"].items():
+        found.append(F.when(tp.isNull() & (cp != code), one(F.lit(math.log(f)) + lx - lq - ly, True, F.lit(code))))
+        found.append(F.when(q != code, one(lp + lx - F.lit(math.log(f)) - ly, True, p)))
+    found.append(F.when(tc != cc, one(lp - lq, True, p)))
+    return F.filter(F.array(*found), lambda c: c.isNotNull())
+
+
+def _residual(x: Column, y: Column, ln: Column) -> Column:
+    """Least distance of the logs x and (if it's there) y, in units apart by ln, to those of the columns x scale, null without them."""
+    lo, hi = F.col("__pay_llo"), F.col("__pay_lhi")
+    return F.least(*[F.abs(x + ln - lo - math.log(k)) + F.coalesce(F.abs(y + ln - hi - math.log(k)), F.lit(0.0)) for k in SCALES])
 
 
 def _readings() -> Column:
@@ -121,13 +165,14 @@ def _readings() -> Column:
 OWN = "__pay_"
 
 
-def pay_readings(df: DataFrame) -> DataFrame:
-    """df with what its pay columns and text say: lo, hi, currency, period (each null if it can't be told), ambiguous.
+def pay_readings(df: DataFrame, known: dict[str, dict[str, Decimal]] | None = None) -> DataFrame:
+    """df with what its pay columns and text say: lo, hi, currency, period (each null if it can't be told), residual, departs (a stated unit doesn't hold), ambiguous.
 
     A text states a figure if a number is left once hours, months, shares and pension
     plans are taken out; 'from x' and 'up to x' state one side, the missing side takes
     the other's value.
     """
+    known = known or {"period": {}, "currency": {}}
     text = F.regexp_replace(F.lower(F.col("compensation")), NOT_PAY, " ")
     one = f"({CURRENCY_IN_TEXT})?\\s*({NUMBER})\\s*({SCALE})?\\s*({CURRENCY_IN_TEXT})?"
     both = f"(?s)^.*?{one}(?:\\s*(?:to|[-\u2013\u2014\u301c~])\\s*{one})?.*$"
@@ -140,32 +185,46 @@ def pay_readings(df: DataFrame) -> DataFrame:
     df = df.withColumns({"__pay_w1": g(3), "__pay_w2": g(7)})
     df = df.withColumns({"__pay_f1": _scale(F.col("__pay_w1")), "__pay_f2": _scale(F.col("__pay_w2"))})
     df = df.withColumns({f"__pay_{k}{n}": how(F.col(f"__pay_n{n}")) for n in (1, 2) for k, how in (("a", _usual), ("b", _other))})
-    df = df.withColumn("__pay_all", F.when(stated, _readings()))
-    far = F.transform("__pay_all", lambda r: F.struct(_residual(r["x"], r["y"], F.col("__pay_lo"), F.col("__pay_hi")).alias("far"), r.alias("r")))
-    df = df.withColumn("__pay_far", far).withColumn("__pay_least", F.array_min(F.transform("__pay_far", lambda r: r["far"])))
-    df = df.withColumn("__pay_tied", F.filter("__pay_far", lambda r: F.coalesce(r["far"] <= F.col("__pay_least") + 1e-6, F.lit(True))))
+    sign, col_cur = F.col("__pay_c"), F.col("__pay_cc")
+    lakh = F.when(stated & F.col("__pay_s1").rlike("lakh|lpa|crore"), "INR")
+    man = F.when(stated & F.col("__pay_s1").rlike("万"), "JPY")
+    df = df.withColumns({"__pay_cc": currency_code(F.col("salary_currency")), "__pay_cp": period_code(F.col("salary_period")), "__pay_tp": F.when(stated, _period_in(t))})
+    text_cur = F.when(sign == "$", F.when(col_cur.isin("AUD", "CAD"), col_cur).otherwise("USD")).otherwise(currency_code(sign))
+    df = df.withColumn("__pay_tc", F.when(stated, F.coalesce(text_cur, F.when(col_cur.isNull(), F.coalesce(lakh, man)))))
+    lo, hi = F.col("__pay_lo"), F.col("__pay_hi")
+    side = lambda codes, a, b: _logs(known[codes], F.coalesce(f"__pay_{a}", f"__pay_{b}"))
+    ln = lambda c: F.when(c > 0, F.ln(c.cast("double")))
+    df = df.withColumns({"__pay_lp": side("period", "tp", "cp"), "__pay_lq": side("period", "cp", "tp"), "__pay_lx": side("currency", "tc", "cc"), "__pay_ly": side("currency", "cc", "tc"), "__pay_llo": ln(lo), "__pay_lhi": ln(hi)})
+    df = df.withColumns({"__pay_all": F.when(stated, _readings()), "__pay_ways": F.when(stated, _combinations(known))})
+    df = df.withColumn("__pay_all", F.transform("__pay_all", lambda r: F.struct(r["odd"].alias("odd"), r["later"].alias("later"), r["x"].alias("x"), r["y"].alias("y"), ln(r["x"]).alias("lx"), ln(r["y"]).alias("ly"))))
+
+    def fit(r: Column) -> Column:
+        """The least costly combination for a reading."""
+        cost = lambda w: F.struct((_residual(r["lx"], r["ly"], w["ln"]) + F.when(w["departs"], DEPARTURE).otherwise(0.0)).alias("far"), w["departs"].alias("departs"), w["period"].alias("period"))
+        # Without columns to hold against, units are as stated.
+        ways = F.when(F.col("__pay_llo").isNull(), F.slice("__pay_ways", 1, 1)).otherwise(F.col("__pay_ways"))
+        return F.array_min(F.transform(ways, cost))
+
+    df = df.withColumn("__pay_far", F.transform("__pay_all", lambda r: F.struct(fit(r).alias("w"), r.alias("r"))))
+    df = df.withColumn("__pay_least", F.array_min(F.transform("__pay_far", lambda r: r["w"]["far"])))
+    df = df.withColumn("__pay_tied", F.filter("__pay_far", lambda r: F.coalesce(r["w"]["far"] <= F.col("__pay_least") + EQUAL, F.lit(True))))
     apart = lambda r: F.coalesce(F.abs(F.ln(r["x"].cast("double")) - F.ln(r["y"].cast("double"))), F.lit(0.0))
-    usual = F.array_min(F.transform("__pay_tied", lambda t: F.struct(t["r"]["odd"].alias("odd"), apart(t["r"]).alias("apart"), t["r"]["later"].alias("later"), t["r"]["x"].alias("x"), t["r"]["y"].alias("y"))))
+    usual = F.array_min(F.transform("__pay_tied", lambda t: F.struct(t["r"]["odd"].alias("odd"), apart(t["r"]).alias("apart"), t["r"]["later"].alias("later"), t["r"]["x"].alias("x"), t["r"]["y"].alias("y"), t["w"].alias("w"))))
     df = df.withColumn("__pay_best", usual)
-    sure = F.size(F.array_distinct(F.transform("__pay_tied", lambda t: F.struct(t["r"]["x"].alias("x"), t["r"]["y"].alias("y"))))) <= 1
+    sure = F.size(F.array_distinct(F.transform("__pay_tied", lambda t: F.struct(t["r"]["x"].alias("x"), t["r"]["y"].alias("y"), t["w"]["period"].alias("p"))))) <= 1
+    departs = F.coalesce(F.col("__pay_best.w.departs"), F.lit(False))
     df = df.withColumns({
-        "__pay_x": F.when(stated, F.col("__pay_best.x")).otherwise(F.col("__pay_lo").cast("decimal(20,4)")),
-        "__pay_y": F.when(stated, F.coalesce("__pay_best.y", "__pay_best.x")).otherwise(F.col("__pay_hi").cast("decimal(20,4)")),
-        "ambiguous": stated & F.col("__pay_least").isNotNull() & ~sure,
-        "residual": F.when(stated, F.col("__pay_least")),
-        "__pay_cc": currency_code(F.col("salary_currency")), "__pay_cp": period_code(F.col("salary_period")), "__pay_tp": F.when(stated, _period_in(t)),
+        "__pay_x": F.when(stated, F.col("__pay_best.x")).otherwise(lo.cast("decimal(20,4)")),
+        "__pay_y": F.when(stated, F.coalesce("__pay_best.y", "__pay_best.x")).otherwise(hi.cast("decimal(20,4)")),
+        "ambiguous": stated & F.col("__pay_least").isNotNull() & ~sure, "departs": stated & departs,
+        "residual": F.when(stated, F.col("__pay_least") - F.when(departs, DEPARTURE).otherwise(0.0)),
     })
-    col_cur = F.col("__pay_cc")
-    sign = F.col("__pay_c")
-    text_cur = F.when(sign == "$", F.when(col_cur.isin("AUD", "CAD"), col_cur).otherwise("USD")).otherwise(currency_code(sign))
-    lakh = F.when(stated & F.col("__pay_s1").rlike("lakh|lpa|crore"), "INR")
-    man = F.when(stated & F.col("__pay_s1").rlike("万"), "JPY")
     drop = [c for c in df.columns if c.startswith(OWN)]
     return df.withColumns({
         "lo": F.least("__pay_x", "__pay_y"),  # least and greatest pass over nulls
         "hi": F.greatest("__pay_x", "__pay_y"),
-        "currency": F.when(stated, F.coalesce(text_cur, col_cur, lakh, man)).otherwise(col_cur),
-        "period": F.coalesce("__pay_tp", "__pay_cp"),
+        "currency": F.coalesce("__pay_tc", "__pay_cc"),
+        "period": F.coalesce(F.when(stated, F.col("__pay_best.w.period")), "__pay_tp", "__pay_cp"),
         "from_text": F.coalesce(stated, F.lit(False)),
     }).drop(*drop)
 
@@ -174,16 +233,14 @@ def yearly_usd(jobs: DataFrame, factors: DataFrame) -> DataFrame:
     """jobs with min_usd_year and max_usd_year, null where amount, currency or period can't be told.
 
     Nulls, empty and unknown units count as unstated. Amounts are decimals until the one
-    rounding, half up. Extra columns pass through; an empty table stays empty. The factor
-    table is fixed and small; it's broadcast only if it has no more than 1,000 rows.
+    rounding, half up. Extra columns pass through; an empty table stays empty. Of the factor
+    table only the codes that are known here are read.
     """
-    f = small_or_shuffled(factors.groupBy("unit_kind", "unit_code").agg(F.max("factor").cast("decimal(18,8)").alias("f")), 1_000)
-    per = f.filter("unit_kind = 'period'").select(F.col("unit_code").alias("period"), F.col("f").alias("__pay_pf"))
-    cur = f.filter("unit_kind = 'currency'").select(F.col("unit_code").alias("currency"), F.col("f").alias("__pay_cf"))
-    per, cur = small_or_shuffled(per, 1_000), small_or_shuffled(cur, 1_000)
-    r = pay_readings(jobs).join(per, "period", "left").join(cur, "currency", "left")
-    usd = lambda c: F.round((F.col(c) * (F.col("__pay_pf") * F.col("__pay_cf")).cast("decimal(18,8)")).cast("decimal(38,12)"), 0).cast("long")
-    return r.withColumns({"min_usd_year": usd("lo"), "max_usd_year": usd("hi")}).drop("__pay_pf", "__pay_cf")
+    known = units(factors)
+    r = pay_readings(jobs, known)
+    rate = (_factor(known["period"], F.col("period")) * _factor(known["currency"], F.col("currency"))).cast("decimal(18,8)")
+    usd = lambda c: F.round((F.col(c) * rate).cast("decimal(38,12)"), 0).cast("long")
+    return r.withColumns({"min_usd_year": usd("lo"), "max_usd_year": usd("hi")})
 
 
 PAY = ["job_uid", "salary_min", "salary_max", "salary_currency", "salary_period", "compensation"]
@@ -191,13 +248,23 @@ PAY = ["job_uid", "salary_min", "salary_max", "salary_currency", "salary_period"
 
 def pay_found(jobs: DataFrame, factors: DataFrame) -> DataFrame:
     """One row per job_uid whose yearly pay can be told; a posting processed again counts once (its least pay, should they differ)."""
-    r = yearly_usd(jobs.select(*PAY), factors).filter("job_uid is not null and min_usd_year is not null and max_usd_year is not null")
-    best = r.groupBy("job_uid").agg(F.min(F.struct("min_usd_year", "max_usd_year")).alias("m"))
-    return best.select("job_uid", "m.min_usd_year", "m.max_usd_year")
+    return _posted(jobs, factors).select("job_uid", "min_usd_year", "max_usd_year")
+
+
+def _posted(jobs: DataFrame, factors: DataFrame) -> DataFrame:
+    """One row per job_uid whose pay can be told, with all that its reading says."""
+    r = yearly_usd(jobs.select(*PAY).filter("job_uid is not null"), factors)
+    # Told or not is asked of the aggregate: a filter before it would be pushed through all that is derived here.
+    told = F.col("min_usd_year").isNotNull() & F.col("max_usd_year").isNotNull()
+    best = r.groupBy("job_uid").agg(F.min(F.when(told, F.struct("min_usd_year", "max_usd_year", "from_text", "residual", "departs"))).alias("m"), F.max(told & F.col("ambiguous")).alias("ambiguous"))
+    return best.filter("m is not null").select("job_uid", "m.*", "ambiguous")
 
 
 def pay_flagged(jobs: DataFrame, factors: DataFrame) -> DataFrame:
-    """pay_found with from_text and ambiguous: whether the text was read, and whether another reading of it fits as well."""
-    r = yearly_usd(jobs.select(*PAY), factors).filter("job_uid is not null and min_usd_year is not null and max_usd_year is not null")
-    best = r.groupBy("job_uid").agg(F.min(F.struct("min_usd_year", "max_usd_year", "from_text")).alias("m"), F.max("ambiguous").alias("ambiguous"))
-    return best.select("job_uid", "m.*", "ambiguous")
+    """pay_found with from_text and ambiguous: whether the text was read, and whether another combination of units fits as well."""
+    return _posted(jobs, factors).drop("residual", "departs")
+
+
+def pay_ambiguous(jobs: DataFrame, factors: DataFrame) -> DataFrame:
+    """The postings whose units have no unique solution, or only one that departs from what is stated, with the residual of the solution taken."""
+    return _posted(jobs, factors).filter("ambiguous or departs").drop("from_text")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.operators.orphans import REFERENCES, orphan_counts, orphan_references
-from tallyforge.operators.units import pay_flagged, pay_found
+from tallyforge.operators.units import pay_ambiguous, pay_flagged, pay_found
 from tallyforge.sources.tables import table
 
 
@@ -26,7 +26,11 @@ def p5_flagged(spark: SparkSession, d: str) -> DataFrame:
     return pay_flagged(table(spark, d, "jobs_llm_enriched"), table(spark, d, "unit_factors"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_orphan_counts": p4_orphan_counts, "p5_found": p5_found, "p5_flagged": p5_flagged}
+def p5_ambiguous(spark: SparkSession, d: str) -> DataFrame:
+    return pay_ambiguous(table(spark, d, "jobs_llm_enriched"), table(spark, d, "unit_factors"))
+
+
+QUERIES = {"p4_found": p4_found, "p4_orphan_counts": p4_orphan_counts, "p5_found": p5_found, "p5_flagged": p5_flagged, "p5_ambiguous": p5_ambiguous}
 
 
 def _key(c: str) -> str:

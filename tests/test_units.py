@@ -5,7 +5,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
-from tallyforge.operators.units import CURRENCIES, PERIODS, pay_flagged, pay_found, pay_readings
+from tallyforge.operators.units import CURRENCIES, PERIODS, pay_ambiguous, pay_flagged, pay_found, pay_readings, units
 
 S = "job_uid string, salary_min long, salary_max long, salary_currency string, salary_period string, compensation string"
 F = "unit_kind string, unit_code string, factor double"
@@ -69,6 +69,23 @@ def test_flagged(make):
     assert sorted(tuple(r) for r in pay_flagged(make(S, *rows), make(F, *FACTORS)).collect()) == [("a", 58000, 79000, True, True), ("b", 58000, 79000, False, False)]
 
 
+@pytest.mark.parametrize(("row", "want"), [
+    # columns by the hour though they say year; a text without a period by the hour though the columns say year
+    ((50, 60, "USD", "year", "$104,000 - $124,800"), ("year", 104000, 124800, 0.0, True, False)), ((83200, 104000, "USD", "year", "$40 - $50"), ("hour", 40, 50, 0.0, True, False)),
+    ((62400, 62400, "USD", "year", "$30 per hour"), ("hour", 30, 30, 0.0, False, False)), ((22, 28, "usd", "hour", "US$22.50 to 28.25 per hour"), ("hour", 22.5, 28.25, 0.0314, False, False)),
+    ((40, 50, "CAD", "hour", "EUR 40 - 50 per hour"), ("hour", 40, 50, 0.0, True, False)), ((58, 79, "usd", "annual", "58.000 to 79.000"), ("year", 58000, 79000, 0.0, False, True)),
+])
+def test_combination_of_least_residual(make, row, want):
+    r = pay_readings(make(S, ("j", *row)), units(make(F, *FACTORS))).first()
+    assert (r.period, float(r.lo), float(r.hi), round(r.residual, 4) + 0.0, r.departs, r.ambiguous) == want
+
+
+def test_solutions_that_are_not_unique(make):
+    rows = [("a", 58, 79, "usd", "annual", "58.000 to 79.000"), ("b", 58000, 79000, "usd", "annual", "58,000 to 79,000"), ("c", 50, 60, "USD", "year", "$104,000 - $124,800"), ("d", None, None, "USD", None, "$5")]
+    got = {r.job_uid: (r.departs, r.ambiguous) for r in pay_ambiguous(make(S, *rows), make(F, *FACTORS)).collect()}
+    assert got == {"a": (False, True), "c": (True, False)}
+
+
 def _plain(row, factors):
     """A plain reading: figures by a tokenizer, units by first mention."""
     lo, hi = row.salary_min, row.salary_max
