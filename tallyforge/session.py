@@ -69,7 +69,17 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that stored() made, once nothing reads them any more: what was made from them must be stored itself."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        p.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def scratch(spark: SparkSession) -> str:
