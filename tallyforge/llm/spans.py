@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.session import stored
+from tallyforge.session import release, stored
 
 MIN_CHARS = 200
 #: Multipliers of the rolling hash (odd) and of its finish.
@@ -243,6 +243,7 @@ class SharedSpans:
             # Hashes are reduced to a first and a last document before the shuffle.
             twice = anchors.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a <> b").select("h")
             near = stored(anchors.join(twice, "h"))
+            release(anchors)
             contexts = near.groupBy("h", "c", "e").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last"))
             kinds = contexts.groupBy("h").agg(F.count("*").alias("kinds"))
             contexts = contexts.join(kinds, "h").select("h", "c", "e", "first", "last", (F.col("first.doc_id") != F.col("last")).alias("several"), (F.col("kinds") > 1).alias("differ")).filter("several or differ")
@@ -250,6 +251,7 @@ class SharedSpans:
             met = stored(near.join(contexts, ["h", "c", "e"]).select(
                 "doc_id", "at", "lo", "hi", "l", "r", "last", "several", (F.col("doc_id") != F.col("first.doc_id")).alias("repeated"), (F.col("differ") & (~F.col("several") | first)).alias("alone")
             ))
+            release(near)
             inside = met.filter(F.col("several") & (F.col("hi") - F.col("lo") >= n)).select("doc_id", "lo", "hi", "repeated")
             # One document for each context is compared with the other contexts of the anchor. A window that both have
             # reaches half of what is left of the anchor or half of what is right of it.
@@ -260,6 +262,7 @@ class SharedSpans:
             reached = sides.groupBy("side", "x").agg(F.min("doc_id").alias("a"), F.max("last").alias("b")).filter("a <> b").select("side", "x")
             places = sides.join(reached, ["side", "x"]).groupBy("doc_id").agg(F.collect_list(F.struct("at", "least", "most", "last")).alias("places"))
             windows = stored(self._reps.join(places, "doc_id").mapInArrow(partial(_windows, min_chars=n), WINDOW))
+            release(sides)
             again = windows.groupBy("c", "e").agg(F.min("doc_id").alias("a"), F.max("last").alias("b")).filter("a <> b").select("c", "e", "a")
             ends = windows.join(again, ["c", "e"]).select("doc_id", F.col("at").alias("lo"), (F.col("at") + n).alias("hi"), (F.col("doc_id") != F.col("a")).alias("repeated"))
             self._found = inside.unionByName(ends)
