@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -78,9 +80,18 @@ def squeeze_sql(e: str) -> str:
     return rewrite_sql(f"coalesce({e}, '')", ((ENDS, ""), (BLANK, " ")))
 
 
+def _where(c: Column, marks: tuple[str, ...], change: Callable[[Column], Column], any_case: bool = False) -> Column:
+    """change(c) for texts that hold one of the marks (with any_case, marks in lower case); others need no look at each rule. c is evaluated once."""
+    holds = lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(m)) for m in marks])
+    given = lambda x: F.exists(F.array(F.lower(x)), holds) if any_case else holds(x)
+    return F.transform(F.array(c), lambda x: F.when(given(x), change(x)).otherwise(x))[0]
+
+
 def html_to_text(c: Column) -> Column:
     """Text of an HTML fragment: entities decoded, lists and paragraphs kept apart, tags as blanks."""
-    return squeeze(rewrite(replace_all(replace_all(c, ENTITIES), MOJIBAKE), (*STRUCTURE, *TAGS)))
+    c = _where(c, ("&",), lambda x: replace_all(x, ENTITIES))
+    c = _where(c, ("â", "Ã"), lambda x: replace_all(x, MOJIBAKE))
+    return squeeze(_where(c, ("<",), lambda x: rewrite(x, (*STRUCTURE, *TAGS))))
 
 
 def html_to_text_sql(e: str) -> str:
@@ -95,7 +106,9 @@ def unescape_every_entity(s: pd.Series) -> pd.Series:
 
 def description(c: Column) -> Column:
     """html_to_text without boilerplate (which is taken to reach to the end) and with one kind of bullet."""
-    return squeeze(rewrite(html_to_text(c), (*BOILERPLATE, *BULLETS)))
+    said = tuple(p.removeprefix("(?is)").removesuffix(".*").lower() for p, _ in BOILERPLATE)
+    c = _where(html_to_text(c), said, lambda x: rewrite(x, BOILERPLATE), any_case=True)
+    return squeeze(_where(c, tuple("•·▪▫‣⁃"), lambda x: rewrite(x, BULLETS)))
 
 
 def description_sql(e: str) -> str:
