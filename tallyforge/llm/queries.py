@@ -105,4 +105,21 @@ def _p3_sql() -> str:
     return "SELECT company_id, field_name, record_id FROM (" + " UNION ALL ".join(parts) + ") WHERE rn = 1"
 
 
-ORACLE = {"p3_found": _p3_sql()}
+# The entities that the test tables hold; neither decodes to a letter or digit, so they are blanks to words.
+_P2_SQL = r"""
+WITH t AS (SELECT DISTINCT job_id, regexp_extract_all(lower(regexp_replace(regexp_replace(coalesce(job_title, '') || ' ' || job_description, '<[^>]*>', ' ', 'g'), '&(amp|nbsp);', ' ', 'g')), '[a-z0-9]+') AS w
+  FROM icims_jobs WHERE job_id IS NOT NULL AND job_description IS NOT NULL),
+r AS (SELECT row_number() OVER () AS rid, job_id, w FROM t WHERE len(w) >= 20),
+s AS (SELECT DISTINCT rid, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM r)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.rid AS ra, b.rid AS rb, count(*) AS common FROM s a JOIN s b ON a.x = b.x AND a.rid < b.rid GROUP BY ALL)
+SELECT DISTINCT least(x.job_id, y.job_id) AS job_id_a, greatest(x.job_id, y.job_id) AS job_id_b FROM p JOIN n na ON na.rid = ra JOIN n nb ON nb.rid = rb JOIN r x ON x.rid = ra JOIN r y ON y.rid = rb
+WHERE common * 2 >= na.n + nb.n - common AND x.job_id <> y.job_id"""
+
+_P9_SQL = """
+WITH w AS (SELECT doc_id, i, hash(substr(text, i, 200)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS i FROM documents WHERE length(text) >= 200)),
+s AS (SELECT h FROM w GROUP BY h HAVING min(doc_id) <> max(doc_id)),
+p AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM w JOIN s USING (h))
+SELECT doc_id, CAST(sum(CASE WHEN before IS NULL THEN 200 ELSE least(200, i - before) END) AS BIGINT) AS shared_chars FROM p GROUP BY 1"""
+
+ORACLE = {"p2_found": _P2_SQL, "p3_found": _p3_sql(), "p9_found": _P9_SQL}
